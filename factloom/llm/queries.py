@@ -2,27 +2,72 @@
 
 from __future__ import annotations
 
-from factloom.llm.common import table
+from pyspark.sql import functions as F
+
+from factloom.llm import language, packing, toxicity
+from factloom.llm.common import crc32_mod, table
 from factloom.llm.decontaminate import contaminated
 from factloom.llm.exact_dedup import exact_dedup
+from factloom.llm.suffix_dedup import suffix_dedup
+from factloom.llm.token_file import read_tokens, write_tokens
 from factloom.llm.url_filter import judge_urls, rule_table
+from factloom.llm.warc import archive_and_read
 
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
 
+def fold(n: int, held: int):
+    """Whether a row's doc_id is in the held-out fold; a row without id is not."""
+    return F.coalesce(crc32_mod("doc_id", n) == held, F.lit(False))
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    profiles = language.fit(docs.filter(~fold(5, 0)).select("doc_id", "text", "lang"))
+    return language.classify(docs, profiles, extra={"held_out": fold(5, 0)})
+
+
 def op2_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc(spark, sf_dir):
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=~fold(3, 1))
+    return toxicity.score(docs, model, extra={"held_out": fold(3, 1)})
+
+
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def op7_token_ids(spark, sf_dir):
+    return read_tokens(spark, write_tokens(table(spark, sf_dir, "documents"), tokenizer()))
+
+
+def op8_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op6_url_filter, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup)}
 
 ORACLES = {
     "op6_url_filter": r"""
