@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.session import ship  # noqa: F401
+from factloom.session import shared_dir, ship, written  # noqa: F401
 
 #: odd multipliers of the vectorised hashes
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -20,24 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder's URI below spark.checkpoint.dir; only where that is unset (tests) a local one is set."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="factloom-shared-")
-        sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage is cut and survives a lost executor."""
-    spark = df.sparkSession
-    path = shared_dir(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a URI, usable on the driver and on executors."""
     from pyarrow import fs

@@ -8,6 +8,7 @@ from factloom.llm import language, packing, toxicity
 from factloom.llm.common import crc32_mod, table
 from factloom.llm.decontaminate import contaminated
 from factloom.llm.exact_dedup import exact_dedup
+from factloom.llm.ngram_join import jaccard_components
 from factloom.llm.suffix_dedup import suffix_dedup
 from factloom.llm.token_file import read_tokens, write_tokens
 from factloom.llm.url_filter import judge_urls, rule_table
@@ -67,7 +68,11 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup)}
+def op10_ngram_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join)}
 
 ORACLES = {
     "op6_url_filter": r"""
