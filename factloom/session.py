@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "8g", shuffle_partitions: str = "8") -> SparkSession:
@@ -32,3 +33,21 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{root.name}/{f.relative_to(root)}")
     sc.addPyFile(path)
     sc._factloom_shipped = True
+
+
+def shared_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder's URI below spark.checkpoint.dir; only where that is unset (tests) a local one is set."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="factloom-shared-")
+        sc.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage is cut and survives a lost executor."""
+    spark = df.sparkSession
+    path = shared_dir(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
