@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import written
+from factloom.llm.common import if_small, written
+
+#: repeated hashes up to this count are broadcast when copies are dropped
+BROADCAST_GROUPS = 200_000
+
+
+def _classes(t: DataFrame, best) -> DataFrame:
+    """One row per distinct text of ``t`` (id, text, h): compared byte by byte within a hash."""
+    return written(
+        t.groupBy("h", "text").agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .select("h", "keep_id", "group_size", F.unhex(F.sha2("text", 256)).alias("sha")), "exact-classes")
+
+
+def _clashes(classes: DataFrame) -> bool:
+    """Whether two texts share a hash."""
+    return not classes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
@@ -20,13 +35,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = {"min": F.min, "max": F.max}[keep]
     t = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     t = t.withColumn("h", F.unhex(F.md5("text")))
-    classes = written(
-        t.groupBy("h", "text").agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("h", "keep_id", "group_size", F.unhex(F.sha2("text", 256)).alias("sha")), "exact-classes")
+    classes = _classes(t, best)
     rows = t.select("id", "h", F.sha2("text", 256).alias("text_sha256"))
-    clash = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     many = classes.filter("group_size > 1")
-    if clash.isEmpty():
+    if not _clashes(classes):
         found = rows.join(many.select("h", "keep_id", "group_size"), "h", "left")
     else:  # two texts with one MD5: their classes are told apart by a second, independent digest
         found = rows.join(many.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha"), ["h", "text_sha256"], "left")
@@ -34,3 +46,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.select(
         F.col("id").alias(id_col), keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
+    """The rows of ``docs``, all columns, but one row of each group of equal texts: that with the best id.
+
+    Rows that repeat both id and text count as one. A row without id stays only if its whole group has none.
+    """
+    best = {"min": F.min, "max": F.max}[keep]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(docs[id_col].alias("id"), text.alias("text")).withColumn("h", F.unhex(F.md5("text")))
+    classes = _classes(own, best)
+    many = classes.filter("group_size > 1").select(F.col("h").alias("_h"), F.col("sha").alias("_sha"), F.col("keep_id").alias("_keep"), F.lit(True).alias("_many"))
+    rows, on = docs.withColumn("_h", F.unhex(F.md5(text))), ["_h"]
+    if _clashes(classes):
+        rows, on = rows.withColumn("_sha", F.unhex(F.sha2(text, 256))), ["_h", "_sha"]
+    else:
+        many = many.drop("_sha")
+    found = rows.join(if_small(many, many.count(), BROADCAST_GROUPS), on, "left")
+    alone = found.filter(F.col("_many").isNull())
+    kept = found.filter(F.col("_many") & F.col(id_col).eqNullSafe(F.col("_keep"))).dropDuplicates([id_col, *on])
+    return alone.unionByName(kept).select(*docs.columns)

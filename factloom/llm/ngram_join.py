@@ -36,6 +36,8 @@ GROUP = 1 << 21
 CHUNK, LEAF, PIVOTS = 3000, 48, 8
 #: documents (expected) that frequent shingles are looked for in, and in how many of them they must be
 SAMPLE, FREQUENT = 4000, 5
+#: ids to drop up to this count are broadcast
+BROADCAST_IDS = 500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -265,6 +267,25 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
     shingle and no link. A null id has no link and a null component. Rows that share an id are one document with the
     links of all of them. Extra columns are ignored; an empty table gives none.
     """
+    component = linked_components(docs, k, num, den, id_col, text_col, parts)
+
+    def count(batches):
+        for b in batches:
+            yield pa.record_batch([b.column("d"), pa.array([len(s) for s in shingle_sets(*utf8(b.column("text")), k)], pa.int64())], ["d", "n_shingles"])
+
+    t = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text"))
+    return t.mapInArrow(count, "d long, n_shingles long").join(component.withColumnRenamed("node", "d"), "d", "left") \
+        .select(F.col("d").alias(id_col), "n_shingles", F.coalesce("component", "d").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, but of linked documents only that with the smallest id."""
+    drop = written(linked_components(docs, k, num, den, id_col, text_col).filter("node <> component").select(F.col("node").alias("_node")), "linked")
+    return docs.join(if_small(drop, drop.count(), BROADCAST_IDS), docs[id_col] == drop["_node"], "left_anti")
+
+
+def linked_components(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+    """(node, component) of every document that has a link."""
     spark = docs.sparkSession
     ship(spark)
     parts = parts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -371,11 +392,4 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
             yield pa.record_batch([pa.array([x[0] for x in found]), pa.array([x[1] for x in found])], ["a", "b"])
 
     links = sets.mapInArrow(join, "a long, b long").unionByName(met.filter("sure").select("a", "b"))
-    component = connected_components(links, "a", "b")
-
-    def count(batches):
-        for b in batches:
-            yield pa.record_batch([b.column("d"), pa.array([len(s) for s in shingle_sets(*utf8(b.column("text")), k)], pa.int64())], ["d", "n_shingles"])
-
-    return t.mapInArrow(count, "d long, n_shingles long").join(component.withColumnRenamed("node", "d"), "d", "left") \
-        .select(F.col("d").alias(id_col), "n_shingles", F.coalesce("component", "d").alias("component_id"))
+    return connected_components(links, "a", "b")

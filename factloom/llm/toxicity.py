@@ -185,3 +185,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     t = docs.select(F.col(id_col), *keep, *[c.alias(n) for n, c in extra.items()], F.col(text_col).alias("_text"))
     schema = ", ".join(f"`{n}` {k}" for n, k in t.drop("_text").dtypes)
     return t.mapInArrow(predict, f"{schema}, score double, predicted int")
+
+
+def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below the threshold."""
+    ship(docs.sparkSession)
+    grams, weights, bias, table = model.grams, model.weights.astype(np.float64), model.bias, slot_table(model.grams)
+
+    def below(batches):
+        for b in batches:
+            doc, feat = present(b.column(text_col).to_pylist(), grams, table)
+            z = bias + np.bincount(doc, weights[feat], b.num_rows)
+            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))) < threshold))
+
+    return docs.mapInArrow(below, docs.schema)
