@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from factloom.plans import facts
+
 FLAGSHIP = "sum_check_national"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict = {**facts.QUERIES}
+ORACLES: dict = {**facts.ORACLES}
