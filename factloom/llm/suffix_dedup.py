@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import K1, mix, ship, span_hashes, utf8, written
+from factloom.llm.common import K1, mix, ship, span_hashes, utf8
 
 LENGTH, KMER, HOT = 100, 32, 5000
 #: bytes that are hashed at once; windows of a longer document are dealt with piece by piece
 PIECE = 1 << 20
 #: suffixes of a task that make one sorted run
 RUN = 400_000
-#: stands for a null id, after all others
+#: stands for a null id, after all others (and is taken for one)
 NULL_ID = (1 << 63) - 1
 
 
@@ -241,7 +241,7 @@ def repeated_anchors(t: DataFrame, parts: int, length: int, hot: int) -> DataFra
 
 
 def suffix_runs(t: DataFrame, parts: int, length: int) -> DataFrame:
-    """Rows of two kinds: front-coded sorted runs (part set), and spans removed already within the task (d set)."""
+    """Rows of two kinds: front-coded sorted runs, and spans removed already within the task (doc set)."""
     schema = "part int, hot boolean, lcp binary, len binary, rest binary, right binary, d binary, th binary, p binary, doc long, doc_th long, spans array<int>"
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 7, pa.int64(), pa.int64(), pa.list_(pa.int32())]
@@ -281,7 +281,7 @@ def suffix_runs(t: DataFrame, parts: int, length: int) -> DataFrame:
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
             if n:
-                yield pa.record_batch([*[pa.nulls(n, k) for k in kinds[:9]], d, th, s], names)
+                yield pa.record_batch([pa.array(np.asarray(d) % parts, pa.int32()), *[pa.nulls(n, k) for k in kinds[1:9]], d, th, s], names)
 
         for b in batches:
             data, offs = utf8(b.column("text"))
@@ -315,9 +315,10 @@ def suffix_runs(t: DataFrame, parts: int, length: int) -> DataFrame:
 
 
 def merged_spans(runs: DataFrame, length: int, k: int = KMER) -> DataFrame:
-    """(d, th, spans) that equal suffixes and windows of different tasks remove."""
+    """(d, th, spans): those that the tasks found, and those that equal suffixes and windows of different tasks remove."""
     def work(key, tab):
         spans = _Spans()
+        found = tab.filter(pa.compute.is_valid(tab.column("doc"))).select(["doc", "doc_th", "spans"]).rename_columns(["d", "th", "spans"])
         for is_hot in (False, True):
             own = tab.filter(pa.compute.equal(tab.column("hot"), is_hot))
             if not own.num_rows:
@@ -336,7 +337,7 @@ def merged_spans(runs: DataFrame, length: int, k: int = KMER) -> DataFrame:
                 at[r] = i + 1
                 group.setdefault((suffix, right[r][i]), []).append((d[r][i], th[r][i], p[r][i]))
             _resolve(group, spans, length)
-        return pa.table(dict(zip(("d", "th", "spans"), spans.columns(), strict=True)))
+        return pa.concat_tables([found, pa.table(dict(zip(("d", "th", "spans"), spans.columns(), strict=True)))], promote_options="permissive")
 
     return runs.groupBy("part").applyInArrow(work, "d long, th long, spans array<int>")
 
@@ -373,20 +374,20 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     must be over KMER. Extra columns are ignored.
     """
     ship(docs.sparkSession)
-    spark = docs.sparkSession
-    parts = parts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    t = docs.select(F.col(id_col).alias("id"), *_where(id_col, text_col))
+    parts = parts or max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    t = docs.select(*_where(id_col, text_col))
     cand = repeated_anchors(t, parts, length, hot)
-    runs = written(suffix_runs(t.select("d", "th", "text").join(cand, "d"), parts, length), "suffix-runs")
-    spans = merged_spans(runs.filter("part is not null").select("part", "hot", "lcp", "len", "rest", "right", "d", "th", "p"), length)
-    spans = spans.unionByName(runs.filter("doc is not null").select(F.col("doc").alias("d"), F.col("doc_th").alias("th"), "spans"))
-    spans = spans.groupBy("d", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # both joins need the texts by d with the same columns: their exchange is made once and used again
+    spans = merged_spans(suffix_runs(t.join(cand, "d"), parts, length), length)
+    spans = spans.groupBy("d").agg(F.collect_list(F.struct("th", "spans")).alias("spans"))
 
     def cut(batches):
         for b in batches:
             data, offs = utf8(b.column("text"))
             text, rows = data.tobytes(), []
-            for i, own in enumerate(b.column("spans").to_pylist()):
+            ths = b.column("th").to_pylist()
+            for i, found in enumerate(b.column("spans").to_pylist()):
+                own = [v for f in found or () if f["th"] == ths[i] for v in f["spans"]]
                 x = text[offs[i] : offs[i + 1]]
                 kept, last, n, removed = [], 0, 0, 0
                 for a, z in sorted(zip(own[::2], own[1::2], strict=True)) if own else ():
@@ -399,9 +400,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 kept = b"".join([*kept, x[last:]])
                 rows.append((len(x), removed, n, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
-            out = [b.column("id"), *[pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]]
+            ids = b.column("d").to_pylist()
+            out = [pa.array([None if v == NULL_ID else v for v in ids], kind), *[pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]]
             yield pa.record_batch(out[: 6 if with_text else 5], names[: 6 if with_text else 5])
 
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return t.join(spans, ["d", "th"], "left").select("id", "text", "spans").mapInArrow(cut, schema)
+    kind = pa.int32() if dict(docs.dtypes)[id_col] == "int" else pa.int64()
+    schema = f"`{id_col}` {'int' if kind == pa.int32() else 'long'}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    return t.join(spans, "d", "left").mapInArrow(cut, schema)
