@@ -1,7 +1,7 @@
 """Packing: order-preserving dynamic programming over window cuts, with monotone-queue transitions.
 
-Documents stay in ascending id order. Cuts may fall at document ends, after a sentence's last token, or (dearer) a
-full window behind such a place. The cost of a sequence is its padding, its end's penalty and a fixed opening cost; the best cost at a
+Documents stay in ascending id order. Cuts may fall at document ends, after a sentence's last token, or (dearer) in
+a sentence longer than a window. The cost of a sequence is its padding, its end's penalty and a fixed opening cost; the best cost at a
 cut is a sliding-window minimum of (cost + position) over the cuts up to ``window`` before it, kept in a monotone
 queue, and lengths that need no padding (powers of two) are transitions of their own.
 """
@@ -9,8 +9,6 @@ queue, and lengths that need no padding (powers of two) are transitions of their
 from __future__ import annotations
 
 import zlib
-from collections import deque
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +22,7 @@ from factloom.llm.tokens import encoder
 
 WINDOW, SENTENCE, HARD, OPENING = 1024, 2, 12, 24
 #: ids that are planned together; a plan ends with a document, so a longer document is planned alone
-PLAN = 1 << 21
+PLAN = 1 << 20
 _ENDS: dict[str, np.ndarray] = {}
 
 
@@ -47,42 +45,62 @@ def plan(total: int, doc_ends: np.ndarray, sentences: np.ndarray, window: int =
     base = np.unique(np.concatenate([[0], doc_ends, sentences]))
     gap = np.diff(base)
     far = np.flatnonzero(gap > window)  # a sentence longer than a window: full windows from its start on
-    extra = [base[:-1] + window] + [np.arange(base[i] + window, base[i + 1], window) for i in far]
+    extra = [np.arange(base[i] + window, base[i + 1], window) for i in far]
     pos = np.unique(np.concatenate([base, *extra]))
     pos = pos[pos <= total]
     cost = np.full(len(pos), float(hard))
     cost[np.searchsorted(pos, base)] = sentence
     cost[np.searchsorted(pos, doc_ends)] = 0
     cost += opening
-    # transitions of power-of-two lengths, as lists by their end
+    # transitions of lengths that need no padding (only those over an eighth of a window pay for their opening)
     short: dict[int, list[int]] = {}
     for m in range(window.bit_length()):
-        if 1 << m <= window:
+        if window // 8 <= 1 << m < window:
             at = np.searchsorted(pos, pos - (1 << m))
-            for i in np.flatnonzero(pos[np.minimum(at, len(pos) - 1)] == pos - (1 << m)).tolist():
-                short.setdefault(i, []).append(int(at[i]))
+            hit = np.flatnonzero(pos[np.minimum(at, len(pos) - 1)] == pos - (1 << m))
+            for i, j in zip(hit.tolist(), at[hit].tolist(), strict=True):
+                short.setdefault(i, []).append(j)
     p, pen, n = pos.tolist(), cost.tolist(), len(pos)
-    best, back, queue = [0.0] * n, [0] * n, deque([0])
-    key = [0.0] * n
+    # best[i]: least cost of all up to cut i; key[i] = best[i] + p[i] is what the queues order by. Queue 1 holds the cuts
+    # up to a window back, queue 2 those up to a window further: a full window, cut hard, and then the rest.
+    best, key, back = [0.0] * n, [0.0] * n, [0] * n
+    one, two, h1, h2, entered, none = [0], [], 0, 0, 0, ()
+    extra = hard + opening + window
     for i in range(1, n):
         x = p[i]
-        while p[queue[0]] < x - window:
-            queue.popleft()
-        j = queue[0]
-        c = key[j] + window - x
-        for k in short.get(i, ()):
+        low = x - window
+        while p[one[h1]] < low:
+            h1 += 1
+        j = one[h1]
+        c = key[j] - low
+        while p[entered] < low:
+            v = key[entered]
+            while len(two) > h2 and key[two[-1]] >= v:
+                two.pop()
+            two.append(entered)
+            entered += 1
+        while len(two) > h2 and p[two[h2]] < low - window:
+            h2 += 1
+        if len(two) > h2 and key[two[h2]] - low + extra < c:
+            j = ~two[h2]
+            c = key[two[h2]] - low + extra
+        for k in short.get(i, none):
             if best[k] <= c:
                 j, c = k, best[k]
-        best[i], back[i] = c + pen[i], j
-        key[i] = v = best[i] + x
-        while queue and key[queue[-1]] >= v:
-            queue.pop()
-        queue.append(i)
-    cuts, i = [n - 1], n - 1
+        best[i] = c = c + pen[i]
+        back[i] = j
+        key[i] = v = c + x
+        while len(one) > h1 and key[one[-1]] >= v:
+            one.pop()
+        one.append(i)
+    cuts, i = [p[-1]], n - 1
     while i:
         i = back[i]
-        cuts.append(i)
-    return pos[cuts[::-1]]
+        if i < 0:
+            i = ~i
+            cuts.append(p[i] + window)
+        cuts.append(p[i])
+    return np.array(cuts[::-1])
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0, window: int = WINDOW, sentence: int = SENTENCE, hard: int = HARD) -> DataFrame:

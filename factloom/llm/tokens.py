@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
+from itertools import chain
 
 import numpy as np
 
 _LOADED: dict[str, Encoder] = {}
 #: distinct pieces kept in a worker; the cache starts anew beyond it
 KEPT = 500_000
+#: a piece that the splitting pattern cuts into one word and one run of marks: Latin letters, then ASCII marks (no apostrophe)
+SIMPLE = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def encoder(path: str) -> Encoder:
@@ -19,17 +23,35 @@ def encoder(path: str) -> Encoder:
 
 
 class _Index(dict):
-    """piece -> number; a missing one gets the next and is noted in ``new``."""
+    """piece -> number; a missing one gets its owner's next number and is noted there with its prefix."""
 
-    def __init__(self):
-        self.new: list[str] = []
+    def __init__(self, owner: Encoder, prefix: str):
+        self.owner, self.prefix = owner, prefix
 
     def __missing__(self, key):
-        self[key] = n = len(self)
-        self.new.append(key)
+        self[key] = n = self.owner.count + len(self.owner.new)
+        self.owner.new.append(self.prefix + key)
         return n
 
 
+class _Words(dict):
+    """pre-token -> ids, by the library's BPE model; the model takes bytes as printable characters."""
+
+    def __init__(self, model):
+        self.model = model
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        other = [b for b in range(256) if b not in set(own)]
+        self.table = {b: b for b in own} | {b: 256 + i for i, b in enumerate(other)}
+
+    def __missing__(self, key):
+        if key.isascii():  # letters and marks stand for themselves
+            chars = chr(self.table[32]) + key[1:] if key[0] == " " else key
+        else:
+            chars = key.encode().decode("latin-1").translate(self.table)
+        self[key] = ids = [t.id for t in self.model.tokenize(chars)]
+        return ids
+
+
 class Encoder:
     """Byte-level BPE of the tokenizers library with its usual splitting pattern.
 
@@ -47,38 +69,58 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.index = _Index()
+        self.new: list[str] = []
+        self.tails, self.heads, self.words = _Index(self, " "), _Index(self, ""), _Words(self.lib.model)
         self.starts, self.lens, self.ids, self.flags, self.used, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32), np.zeros(1 << 18, np.uint32), np.zeros(1 << 16, np.uint8), 0, 0
 
+    def _pieces(self, new: list[str]) -> tuple[list[list[int]], list[int]]:
+        """Ids of each piece, and which pieces are not simple."""
+        enc, rest, at, words = [], [], [], self.words
+        for i, p in enumerate(new):
+            m = SIMPLE.fullmatch(p)
+            if m:
+                enc.append(words[m[1]] + words[m[2]] if m[2] else words[m[1]])
+            else:
+                enc.append([])
+                rest.append(p)
+                at.append(i)
+        for i, e in zip(at, self.lib.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            enc[i] = e.ids
+        return enc, at
+
     def _learn(self):
-        new, self.index.new = self.index.new, []
+        new, self.new = self.new, []
         if not new:
             return
-        enc = [e.ids for e in self.lib.encode_batch_fast(new, add_special_tokens=False)]
+        enc, rest = self._pieces(new)
         n = np.fromiter(map(len, enc), np.int32, len(enc))
         total, top = int(n.sum()), self.count + len(new)
         while len(self.ids) < self.used + total:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.starts) < top:
             self.starts, self.lens, self.flags = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lens, self.flags))
-        self.ids[self.used : self.used + total] = np.fromiter((i for e in enc for i in e), np.uint32, total)
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(enc), np.uint32, total)
         self.lens[self.count : top] = n
         self.starts[self.count : top] = self.used + np.cumsum(n) - n
-        # 1: white space (or the end) follows the piece's first space; 2: the piece ends in white space
-        self.flags[self.count : top] = np.fromiter(((p[:1] == " " and (len(p) == 1 or p[1].isspace())) + 2 * p[-1:].isspace() for p in new), np.uint8, len(new))
+        # 1: white space (or the end) follows the piece's first space; 2: the piece ends in white space; never in simple ones
+        flags = np.zeros(len(new), np.uint8)
+        for i in rest:
+            p = new[i]
+            flags[i] = (p[:1] == " " and (len(p) == 1 or p[1].isspace())) + 2 * p[-1:].isspace()
+        self.flags[self.count : top] = flags
         self.used, self.count = self.used + total, top
 
     def encode(self, texts: list, end: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds): text i has ids[bounds[i]:bounds[i + 1]], with ``end`` appended if given; null is empty."""
         if self.count > KEPT:
             self._reset()
-        pieces, sizes = [], []
+        at, sizes, tail, head = [], [], self.tails.__getitem__, self.heads.__getitem__
         for t in texts:
             p = (t or "").split(" ")
             sizes.append(len(p))
-            pieces.append(p[0])
-            pieces += [" " + x for x in p[1:]]
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+            at.append(head(p[0]))
+            at += map(tail, p[1:])
+        at = np.array(at, np.int64)
         self._learn()
         last = np.cumsum(sizes)
         lens, flags = self.lens[at].astype(np.int64), self.flags[at]
