@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import if_small
+from factloom.llm.common import if_small, written
 
 #: word shingles of the benchmark up to this count are broadcast for the confirming join
 BROADCAST_SHINGLES = 500_000
@@ -121,7 +121,7 @@ def _matches(docs, items, k, planes, bits, total, longest, similarity, blocks, b
     win = held(d, "hit", hit).select("id", F.explode(F.transform("hit", lambda i: F.struct(i.alias("start"), F.slice(F.col("sh"), i + 1, longest).alias("ahead")))).alias("w"))
     win = win.select("id", "w.start", "w.ahead", F.get("w.ahead", F.lit(0)).alias("h"))
     win = win.join(if_small(starts, total, BROADCAST_SHINGLES), "h").select("id", "start", "n", F.slice("ahead", F.lit(1), F.col("n")).alias("sh"))
-    win = held(win, "fp", simhash(F.col("sh"), planes))
+    win = written(held(win, "fp", simhash(F.col("sh"), planes)), "windows")  # used twice
 
     # multi-index over distinct fingerprints: the items' side holds every variant within block_radius bits
     variants = F.filter(F.sequence(F.lit(0).cast("bigint"), F.lit((1 << width) - 1).cast("bigint")), lambda v: F.bit_count(v) <= block_radius)
@@ -129,7 +129,8 @@ def _matches(docs, items, k, planes, bits, total, longest, similarity, blocks, b
     index = index.withColumn("flip", F.explode(variants)).select(F.col("n"), F.col("x.block").alias("block"), F.col("x.v").bitwiseXOR(F.col("flip")).alias("v"), F.col("fp").alias("item_fp")).distinct()
     probe = win.select("n", "fp").distinct().select("n", "fp", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b, width).alias("v")) for b in range(blocks)])).alias("x"))
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = probe.select("n", "fp", "x.block", "x.v").join(index, ["n", "block", "v"]).filter(hamming <= blocks * (block_radius + 1) - 1).select("n", "fp", "item_fp").distinct()
+    # the index's size is underestimated (generators count as one row), hence the hint: it is never broadcast
+    near = probe.select("n", "fp", "x.block", "x.v").join(index.hint("merge"), ["n", "block", "v"]).filter(hamming <= blocks * (block_radius + 1) - 1).select("n", "fp", "item_fp").distinct()
 
     own = it.select("item", "n", F.col("fp").alias("item_fp"), "own")
     pair = with_occurrences(win.join(near.join(own, ["n", "item_fp"]), ["n", "fp"]), "sh", "theirs")
