@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from factloom.llm import textcodes
 from factloom.llm.common import ship
 from factloom.llm.token_file import in_order
-from factloom.llm.tokens import encoder
+from factloom.llm.tokens import KEPT, encoder
 
 WINDOW, SENTENCE, HARD, OPENING = 1024, 2, 12, 24
 #: ids that are planned together; a plan ends with a document, so a longer document is planned alone
@@ -29,7 +29,9 @@ _ENDS: dict[str, np.ndarray] = {}
 def sentence_ends(path: str) -> np.ndarray:
     """Which ids end a sentence or a line."""
     if path not in _ENDS:
-        vocab = encoder(path).lib.get_vocab()
+        from tokenizers import Tokenizer
+
+        vocab = Tokenizer.from_file(path).get_vocab()
         table = np.zeros(max(vocab.values()) + 1, bool)
         table[[i for t, i in vocab.items() if t[-1:] in (".", "!", "?", "Ċ")]] = True
         _ENDS[path] = table
@@ -103,11 +105,11 @@ def plan(total: int, doc_ends: np.ndarray, sentences: np.ndarray, window: int =
     return np.array(cuts[::-1])
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0, window: int = WINDOW, sentence: int = SENTENCE, hard: int = HARD) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0, window: int = WINDOW, sentence: int = SENTENCE, hard: int = HARD, kept: int = KEPT) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id lies in one piece. A null text is one end id; null ids come first. Partitions are ranges of ids, planned
-    on their own; sequence ids are the partition's number times 2^40 plus a running number. Empty tables give none.
+    on their own (``kept``: distinct pieces that a worker's encoder remembers); sequence ids are the partition's number times 2^40 plus a running number. Empty tables give none.
     """
     ship(docs.sparkSession)
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -122,7 +124,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c.astype(np.int64)) for c in cols], names), len(cuts) - 1
 
     def work(batches):
-        enc, ends, used = encoder(tokenizer), sentence_ends(tokenizer), TaskContext.get().partitionId() << 40
+        enc, ends, used = encoder(tokenizer, kept), sentence_ends(tokenizer), TaskContext.get().partitionId() << 40
         held, parts, sizes, n = [], [], [], 0
         def flush():
             null = np.array([x is None for x in held])

@@ -24,17 +24,52 @@ from factloom.llm.tokens import encoder
 MAGIC = b"FLTOKID1"
 
 
-def write_file(uri: str, attempt: str, doc_ids: list, bounds: np.ndarray, ids: list[np.ndarray]) -> None:
-    """Atomic: written under a name of the attempt's own, then renamed."""
-    fs, path = filesystem(uri)
-    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    words, first = simple8b.encode(np.concatenate(ids) if ids else np.zeros(0, np.uint32))
-    null = np.array([x is None for x in doc_ids], np.uint8)
-    with fs.open_output_stream(f"{path}.{attempt}", compression=None) as f:
-        for part in (MAGIC, words.tobytes(), first.astype(np.uint64).tobytes(), np.array([x or 0 for x in doc_ids], np.int64).tobytes(), null.tobytes(), bounds[:-1].astype(np.uint64).tobytes(),
-                     np.array([len(words), len(first), len(doc_ids), bounds[-1]], np.uint64).tobytes(), MAGIC):
-            f.write(part)
-    fs.move(f"{path}.{attempt}", path)
+#: ids that are coded together
+STEP = 128 * simple8b.BLOCK
+
+
+class TokenWriter:
+    """Writes one file as documents come; it gets its name when it is complete (renamed from the attempt's own)."""
+
+    def __init__(self, uri: str, attempt: str):
+        self.fs, self.path = filesystem(uri)
+        self.fs.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+        self.part = f"{self.path}.{attempt}"
+        self.f = self.fs.open_output_stream(self.part, compression=None)
+        self.f.write(MAGIC)
+        self.doc_ids, self.starts, self.first, self.held, self.n_held, self.total = [], [], [np.zeros(1, np.int64)], [], 0, 0
+
+    def add(self, doc_ids: list, bounds: np.ndarray, ids: np.ndarray) -> None:
+        self.doc_ids += doc_ids
+        self.starts.append(bounds[:-1] + self.total)
+        self.total += len(ids)
+        self.held.append(ids)
+        self.n_held += len(ids)
+        if self.n_held >= STEP:
+            self._code(False)
+
+    def _code(self, last: bool) -> None:
+        ids = np.concatenate([np.zeros(0, np.uint32), *self.held])
+        done = 0
+        while len(ids) - done >= STEP or last and done < len(ids):
+            words, first = simple8b.encode(ids[done : done + STEP])
+            self.f.write(words.tobytes())
+            self.first.append(first[1:] + self.first[-1][-1])
+            done += STEP
+        self.held, self.n_held = [ids[done:]], max(0, len(ids) - done)
+
+    def close(self) -> int:
+        """Writes the rest and the tables; the number of ids."""
+        self._code(True)
+        first, docs = np.concatenate(self.first), self.doc_ids
+        null = np.array([x is None for x in docs], np.uint8)
+        starts = np.concatenate([np.zeros(0, np.int64), *self.starts])
+        for part in (first.astype(np.uint64), np.array([x or 0 for x in docs], np.int64), null, starts.astype(np.uint64), np.array([first[-1], len(first), len(docs), self.total], np.uint64)):
+            self.f.write(part.tobytes())
+        self.f.write(MAGIC)
+        self.f.close()
+        self.fs.move(self.part, self.path)
+        return self.total
 
 
 @dataclass
@@ -92,20 +127,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
     folder = folder or shared_dir(docs.sparkSession, "tokens")
 
     def write(batches):
-        enc, names, parts, counts = encoder(tokenizer), [], [], []
+        enc, task, out, uri = encoder(tokenizer), TaskContext.get(), None, f"{folder}/part-{TaskContext.get().partitionId():06d}.ids"
         for b in batches:
-            texts = b.column(1).to_pylist()
-            names += b.column(0).to_pylist()
+            if out is None and b.num_rows:
+                out = TokenWriter(uri, f"tmp-{task.taskAttemptId()}")
+            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, j in textcodes.groups(texts):
                 ids, bounds = enc.encode(texts[i:j], end)
-                parts.append(ids)
-                counts.append(np.diff(bounds))
-        if names:
-            task = TaskContext.get()
-            bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-            uri = f"{folder}/part-{task.partitionId():06d}.ids"
-            write_file(uri, f"tmp-{task.taskAttemptId()}", names, bounds, parts)
-            yield pa.record_batch([pa.array([task.partitionId()]), pa.array([uri]), pa.array([int(bounds[-1])])], ["part", "uri", "n"])
+                out.add(names[i:j], bounds, ids)
+        if out is not None:
+            yield pa.record_batch([pa.array([task.partitionId()]), pa.array([uri]), pa.array([out.close()])], ["part", "uri", "n"])
 
     rows = sorted((r["part"], r["uri"], r["n"]) for r in in_order(docs, id_col, text_col).mapInArrow(write, "part long, uri string, n long").collect())
     before = np.concatenate([[0], np.cumsum([r[2] for r in rows], dtype=np.int64)]) if rows else [0]
@@ -120,7 +151,7 @@ def read_tokens(spark, files: list[tuple[str, int]], id_col: str = "doc_id") ->
         for b in batches:
             for uri, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 f = TokenFile.open(uri)
-                step = 1 << 22  # ids decoded at once, more for a longer document
+                step = 1 << 20  # ids decoded at once, more for a longer document
                 i, n = 0, len(f.doc_ids)
                 while i < n:
                     j = max(i + 1, int(np.searchsorted(f.starts, f.starts[i] + step, "right")) - 1)

@@ -9,16 +9,17 @@ from itertools import chain
 import numpy as np
 
 _LOADED: dict[str, Encoder] = {}
-#: distinct pieces kept in a worker; the cache starts anew beyond it
-KEPT = 500_000
+#: distinct pieces kept in a worker (some 300 bytes each); the cache starts anew beyond it
+KEPT = 700_000
 #: a piece that the splitting pattern cuts into one word and one run of marks: Latin letters, then ASCII marks (no apostrophe)
 SIMPLE = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per tokenizer file and Python worker."""
+def encoder(path: str, kept: int = KEPT) -> Encoder:
+    """One encoder per tokenizer file and Python worker; ``kept`` bounds its cache from now on."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
+    _LOADED[path].kept = kept
     return _LOADED[path]
 
 
@@ -66,6 +67,7 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kept = KEPT
         self._reset()
 
     def _reset(self):
@@ -112,7 +114,7 @@ class Encoder:
 
     def encode(self, texts: list, end: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds): text i has ids[bounds[i]:bounds[i + 1]], with ``end`` appended if given; null is empty."""
-        if self.count > KEPT:
+        if self.count > self.kept:
             self._reset()
         at, sizes, tail, head = [], [], self.tails.__getitem__, self.heads.__getitem__
         for t in texts:
