@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,9 +46,8 @@ def _sheet_facts(pdf: pd.DataFrame) -> list[tuple]:
     num = {(r, c): v for r, c, v in zip(pdf.r, pdf.c, pdf.v_num, strict=True) if v == v and v is not None}
     rows, out = sorted({r for r, _ in [*text, *num]}), []
     cols = sorted({c for _, c in [*text, *num]})
-    has = lambda r, pattern: [c for c in cols if (r, c) in text and pd.Series([text[r, c]]).str.contains(pattern, regex=True).iat[0]]
-    entity = {r: has(r, ENTITY) for r in rows}
-    entity = {r: [c for c in cs if sum((r, x) in text for x in cols) > 1] for r, cs in entity.items()}
+    shown = lambda r, c: text.get((r, c)) or (f"{num[r, c]:g}" if (r, c) in num else None)
+    entity = {r: [c for c in cols if re.search(ENTITY, text.get((r, c), ""))] if sum((r, x) in text for x in cols) > 1 else [] for r in rows}
     i = 0
     while i < len(rows):
         top = rows[i]
@@ -62,17 +63,20 @@ def _sheet_facts(pdf: pd.DataFrame) -> list[tuple]:
             data = [r for r in rows[i + 1 : after] if (r, c0) in text and sum((r, c) in num for c in own) >= max(1, 0.3 * wide)]
             if not data:
                 continue
-            head = [r for r in rows[i : rows.index(data[0])] if sum(bool(pd.Series([text.get((r, c), str(int(num[r, c])) if (r, c) in num else "")]).str.match(INDEX).iat[0]) for c in own) < 2]
+            # above the figures: header rows, index strips such as (1) (2) (3), and banners (one text in the entity column)
+            above = rows[i : rows.index(data[0])]
+            banners = [r for r in above[1:] if [c for c in own if shown(r, c)] == [c0]]
+            head = [r for r in above if r not in banners and sum(bool(re.match(INDEX, shown(r, c) or "")) for c in own) < 2]
             labels = {c: [] for c in own}
             for k, r in enumerate(head):
                 last = None
                 for c in own[1:]:
-                    v = text.get((r, c), str(int(num[r, c])) if (r, c) in num else None)
+                    v = shown(r, c)
                     last = v if v is not None else (last if k < len(head) - 1 else None)  # the last header row does not span
                     if last and (not labels[c] or labels[c][-1] != last.strip()):
                         labels[c].append(last.strip())
             context = None
-            for r in rows[rows.index(data[0]) if not head else rows.index(head[-1]) + 1 : after]:
+            for r in [*banners, *rows[rows.index(data[0]) : after]]:
                 name = text.get((r, c0), "").strip()
                 if r not in data:
                     context = name.split(":", 1)[1].strip() if ":" in name else name or context
