@@ -1,13 +1,14 @@
 """Toxicity by non-negative positive-unlabelled learning: a numpy classifier from confirmed toxic and unlabelled texts.
 
-Features: which of ``features`` selected 5-letter grams (over the lower-cased text, other runs one space) a text
-has. The risk is class-prior-corrected: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)); where the second term turns
+Features: which of ``features`` selected grams of 5 and 8 letters (over the lower-cased text, other runs one space) a
+text has; selected are those that make a text likelier toxic than not. The risk is class-prior-corrected: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)); where the second term turns
 negative, the step goes against it. The model is fitted on a bounded sample (parameters ``positives`` and
 ``unlabelled``); every whole text is scored.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,11 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm import textcodes
-from factloom.llm.common import mix, ship, written
+from factloom.llm.common import K1, mix, ship, written
 
 ORDER, BITS, SLOTS = 5, 12, 22
 #: rows of each kind that a model is fitted on (expected number), and its features
-POSITIVES, UNLABELLED, FEATURES = 2500, 5000, 1024
+POSITIVES, UNLABELLED, FEATURES = 2500, 8000, 2048
 PARTS = 16
 
 
@@ -36,6 +37,16 @@ def _slots(g: np.ndarray) -> np.ndarray:
     return (mix(g.astype(np.uint64)) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
+def grams_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, where they begin): all of 5 letters, packed, and all of 8, hashed."""
+    if len(codes) < ORDER:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    five = textcodes.packed(codes, ORDER, BITS)
+    four = textcodes.packed(codes, 4, BITS).astype(np.uint64)
+    eight = (mix(four[:-4] * K1 + four[4:]) >> np.uint64(2) | np.uint64(1 << 62)).astype(np.int64)
+    return np.concatenate([five, eight]), np.concatenate([np.arange(len(five)), np.arange(len(eight))])
+
+
 def present(texts: list, grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) pairs, each once. ``table``: for each hash slot, whether a feature may be there."""
     docs, feats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -43,11 +54,11 @@ def present(texts: list, grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarr
         codes, bounds = textcodes.stream(texts[i:j])
         if len(codes) < ORDER or not len(grams):
             continue
-        g = textcodes.packed(codes, ORDER, BITS)
+        g, begin = grams_of(codes)
         at = np.flatnonzero(table[_slots(g)])
         k = np.minimum(np.searchsorted(grams, g[at]), len(grams) - 1)
         ok = grams[k] == g[at]
-        pair = np.unique((np.searchsorted(bounds, at[ok], "right") - 1) * len(grams) + k[ok])
+        pair = np.unique((np.searchsorted(bounds, begin[at[ok]], "right") - 1) * len(grams) + k[ok])
         docs.append(pair // len(grams) + i)
         feats.append(pair % len(grams))
     return np.concatenate(docs), np.concatenate(feats)
@@ -103,6 +114,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = lab.filter("y = 1").filter(below(positives / shape["p"])).select("id", F.lit(True).alias("p"))  # bounded by ``positives``
     sample = t.filter("text is not null").join(F.broadcast(ids), "id", "left").withColumn("u", F.pmod(F.xxhash64("id", F.lit(8)), F.lit(1_000_000)) < int(min(1.0, unlabelled / n_docs) * 1_000_000)) \
         .select("text", F.coalesce("p", F.lit(False)).alias("p"), "u").filter("p or u")
+
+    def least(batches):
+        """Each text with the least hash of its passages of 25 letters: near copies mostly share it, other texts do not."""
+        for b in batches:
+            texts, low = b.column(0).to_pylist(), []
+            for i, j in textcodes.groups(texts):
+                codes, bounds = textcodes.stream(texts[i:j])
+                g = textcodes.packed(codes, ORDER, BITS).astype(np.uint64) if len(codes) >= ORDER else np.zeros(0, np.uint64)
+                h = g[: max(0, len(g) - 20)].copy()
+                for k in (5, 10, 15, 20):
+                    h = h * K1 + g[k : k + len(h)]
+                h = mix(h) >> np.uint64(1)
+                low += [int(h[x : y - 26].min()) if y - x > 26 else -zlib.crc32(t.encode('utf-8', 'surrogatepass')) for x, y, t in zip(bounds[:-1], bounds[1:], texts[i:j], strict=True)]
+            yield pa.record_batch([*b.columns, pa.array(low, pa.int64())], ["text", "p", "u", "least"])
+
+    # copies of a text say nothing more than the text: one of each is kept on either side
+    sample = sample.mapInArrow(least, "text string, p boolean, u boolean, least long").dropDuplicates(["least", "p"]).drop("least")
     sample = written(sample.repartition(PARTS, F.xxhash64("text")), "pu-sample")
 
     def count(batches):
@@ -110,11 +138,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         grams, pos, unl = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for b in batches:
             texts, p, u = b.column(0).to_pylist(), np.array(b.column(1)), np.array(b.column(2))
-            for i, j in textcodes.groups(texts, 1 << 20):
+            for i, j in textcodes.groups(texts):
                 codes, bounds = textcodes.stream(texts[i:j])
                 for k, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                     if y - 1 - x >= ORDER:
-                        g = np.unique(textcodes.packed(codes[x : y - 1], ORDER, BITS))
+                        g = np.unique(grams_of(codes[x : y - 1])[0])
                         grams.append(g)
                         pos.append(np.full(len(g), p[i + k], np.int64))
                         unl.append(np.full(len(g), u[i + k], np.int64))
@@ -132,8 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def best(key, tab):
         g, inverse = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in tab.column("g").to_pylist()]), return_inverse=True)
         p, u = (np.bincount(inverse, np.concatenate([np.frombuffer(x, np.int32) for x in tab.column(c).to_pylist()]), len(g)) for c in ("p", "u"))
-        lift = (p / n["p"]) / ((u + 0.5) / n["u"])
-        worth = np.where((p >= 5) & (lift > 1.5), p / n["p"] * np.log(np.maximum(lift, 1e-9)), 0)
+        # a gram is worth keeping if, by Bayes with the class prior, texts that have it are likelier toxic than not, and
+        # if so few unlabelled texts would be no accident for a gram that says nothing (20 or more expected)
+        likely = prior * (p / n["p"]) / ((u + 0.5) / n["u"])
+        worth = np.where((p >= 4) & (p * n["u"] >= 20 * n["p"]) & (likely >= 0.6), p * np.minimum(likely, 1), 0)
         top = np.argsort(-worth, kind="stable")[:features]
         top = top[worth[top] > 0]
         return pa.table({"gram": g[top], "worth": worth[top]})
