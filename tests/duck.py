@@ -19,7 +19,7 @@ def show(x):
         return "null"
     if isinstance(x, bool) or type(x).__name__ == "bool_":
         return str(bool(x))
-    if isinstance(x, (int, float)) or getattr(getattr(x, "dtype", None), "kind", "") in "fiu":
+    if isinstance(x, (int, float)) or getattr(getattr(x, "dtype", None), "kind", "-") in "fiu":
         return f"{float(x):.6g}"
     return str(x)
 
