@@ -31,7 +31,8 @@ from factloom.llm.common import K1, K2, if_small, mix, ship, span_hashes, utf8
 from factloom.operators.graph import connected_components
 from factloom.session import written
 
-GROUP = 1 << 21
+#: bytes, shingles and keys that a task holds as arrays at once
+GROUP, TOKENS, KEYS = 1 << 19, 300_000, 600_000
 #: documents of a block that are joined in one task; members of a region that are compared directly; pivots
 CHUNK, LEAF, PIVOTS = 3000, 48, 8
 #: documents (expected) that frequent shingles are looked for in, and in how many of them they must be
@@ -55,6 +56,15 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return span_hashes(_LOWER[data], starts, ends), np.searchsorted(starts, offs)
 
 
+def byte_groups(offs: np.ndarray, limit: int):
+    """Ranges of documents of about ``limit`` bytes; a longer one is alone."""
+    i, n = 0, len(offs) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
+        yield i, j
+        i = j
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]:
     """The sorted distinct k-word shingle hashes of each document; fewer words are one shingle, no word none."""
     out: list[np.ndarray] = []
@@ -253,6 +263,7 @@ def frequent_shingles(t: DataFrame, k: int, sample: int = SAMPLE, least: int = F
 
     def count(batches):
         for b in batches:
+            # the sample is bounded, and so is a batch of it
             u, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(*utf8(b.column("text")), k)]), return_counts=True)
             yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(c)], ["h", "n"])
 
@@ -271,7 +282,9 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
 
     def count(batches):
         for b in batches:
-            yield pa.record_batch([b.column("d"), pa.array([len(s) for s in shingle_sets(*utf8(b.column("text")), k)], pa.int64())], ["d", "n_shingles"])
+            data, offs = utf8(b.column("text"))
+            n = [len(s) for x, y in byte_groups(offs, TOKENS * 16) for s in shingle_sets(data[offs[x] : offs[y]], offs[x : y + 1] - offs[x], k)]
+            yield pa.record_batch([b.column("d"), pa.array(n, pa.int64())], ["d", "n_shingles"])
 
     t = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text"))
     return t.mapInArrow(count, "d long, n_shingles long").join(component.withColumnRenamed("node", "d"), "d", "left") \
@@ -315,20 +328,23 @@ def linked_components(docs: DataFrame, k: int, num: int, den: int, id_col: str =
             return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["part", "h", "d"])
 
         for b in batches:
-            ids, sets, new = b.column("d").to_pylist(), shingle_sets(*utf8(b.column("text")), k), []
-            for i, s in enumerate(sets):
-                if len(s):
-                    first = seen.setdefault(set_id(s), ids[i])
-                    if first == ids[i]:
-                        new.append(i)
-                    else:
-                        copies.append((first, ids[i]))
-            h, at = signatures([sets[i] for i in new], hot, num, den)
-            got.append((h, np.array([ids[i] for i in new], np.int64)[at]))
-            n += len(h)
-            if n >= 2_000_000:
-                yield flush()
-                n = 0
+            ids, (data, offs) = b.column("d").to_pylist(), utf8(b.column("text"))
+            for x, y in byte_groups(offs, TOKENS * 4):
+                new, who = [], []
+                for i, s in zip(ids[x:y], shingle_sets(data[offs[x] : offs[y]], offs[x : y + 1] - offs[x], k), strict=True):
+                    if len(s):
+                        first = seen.setdefault(set_id(s), i)
+                        if first == i:
+                            new.append(s)
+                            who.append(i)
+                        else:
+                            copies.append((first, i))
+                h, at = signatures(new, hot, num, den)
+                got.append((h, np.array(who, np.int64)[at]))
+                n += len(h)
+                if n >= KEYS:
+                    yield flush()
+                    n = 0
         yield flush()
 
     def meet(key, tab):
@@ -353,10 +369,14 @@ def linked_components(docs: DataFrame, k: int, num: int, den: int, id_col: str =
 
     def to_sets(batches):
         for b in batches:
-            sets = shingle_sets(*utf8(b.column("text")), k)
-            yield pa.record_batch([b.column(c) for c in ("d", "block", "chunks", "own")] + [pa.array([s.tobytes() for s in sets], pa.binary())], ["d", "block", "chunks", "own", "s"])
-
-    sets = known.join(placed, "d").select("d", "block", "chunks", "own", "text").mapInArrow(to_sets, "d long, block long, chunks int, own int, s binary")
+            _, offs = utf8(b.column("text"))
+            for x, y in byte_groups(offs, TOKENS * 16):
+                part = b.slice(x, y - x)
+                sets = shingle_sets(*utf8(part.column("text")), k)
+                yield pa.record_batch([part.column(c) for c in ("d", "block", "chunks", "own")] + [pa.array([s.tobytes() for s in sets], pa.binary())], ["d", "block", "chunks", "own", "s"])
+
+    # the same plan at every size: not a broadcast of the places as long as they happen to be few
+    sets = known.join(placed.hint("merge"), "d").select("d", "block", "chunks", "own", "text").mapInArrow(to_sets, "d long, block long, chunks int, own int, s binary")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
     sets = sets.select("block", F.explode(pairs).alias("c"), "d", "s").select("block", "c.i", "c.j", "d", "s")
     sets = sets.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "d")

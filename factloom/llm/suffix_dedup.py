@@ -32,9 +32,9 @@ from factloom.llm.common import K1, mix, ship, span_hashes, utf8
 
 LENGTH, KMER, HOT = 100, 32, 5000
 #: bytes that are hashed at once; windows of a longer document are dealt with piece by piece
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: suffixes of a task that make one sorted run
-RUN = 400_000
+RUN = 200_000
 #: stands for a null id, after all others (and is taken for one)
 NULL_ID = (1 << 63) - 1
 
@@ -217,7 +217,7 @@ def repeated_anchors(t: DataFrame, parts: int, length: int, hot: int) -> DataFra
             if len(doc):
                 got.append((ids[doc], (p - offs[doc]).astype(np.int32), h))
                 n += len(doc)
-            if n >= 2_000_000:
+            if n >= 1_000_000:
                 yield flush()
                 n = 0
         if got:

@@ -17,7 +17,7 @@ def letters() -> np.ndarray:
     return _TABLE[0]
 
 
-def groups(texts: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def groups(texts: list, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters; a longer text is alone."""
     start, n = 0, 0
     for i, t in enumerate(texts):
