@@ -27,12 +27,18 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     flat[: len(values)] = values
     v[:, :BLOCK] = flat.reshape(n_blocks, BLOCK)
     v = v.reshape(-1)
+    # bits of each value (a value near 2^60 may count as one bit more, which only costs an escape), then the most over
+    # the next 2, 3, ... values from maxima over fewer
+    most = {1: np.frexp(v.astype(np.float64))[1].astype(np.uint8)}
     choice = np.full(len(v), ESCAPE, np.uint8)
-    here = np.arange(len(v))
     for s in range(len(COUNTS) - 1, -1, -1):
-        far = np.where(v >= np.uint64(1) << np.uint64(WIDTHS[s]), here, len(v))
-        room = np.minimum.accumulate(far[::-1])[::-1] - here
-        choice[room >= COUNTS[s]] = s
+        n = int(COUNTS[s])
+        if n > 1:
+            k = max(x for x in most if x < n and n - x in most)
+            m = most[k].copy()
+            np.maximum(m[:-k], most[n - k][k:], out=m[:-k])
+            most[n] = m
+        choice[most[n] <= WIDTHS[s]] = s
     step = np.ones(16, np.int64)
     step[:14] = COUNTS
     size = np.full(n_blocks, BLOCK)
