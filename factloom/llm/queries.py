@@ -88,4 +88,13 @@ select page_id, host, path, rule, coalesce(action, 'allow') as verdict from m wh
 with t as (select doc_id, coalesce(text, '') as text from documents),
 g as (select text, max(doc_id) as keep_id, count(*) as group_size from t group by text)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256 from t join g using (text)""",
+    "op10_ngram_join": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
+t as (select doc_id, len(s) as n, unnest(s) as x from s),
+l as (select a.doc_id as a, b.doc_id as b from t a join t b on a.x = b.x and a.doc_id < b.doc_id group by a.doc_id, b.doc_id having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+e as (select a, b from l union all select b, a from l),
+c as (select doc_id as node, doc_id as root from documents union select e.b, c.root from c join e on e.a = c.node where c.root < e.b),
+r as (select node, min(root) as root from c group by node)
+select s.doc_id, len(s) as n_shingles, root as component_id from s left join r on s.doc_id = r.node""",
 }
