@@ -21,8 +21,8 @@ from factloom.llm.common import K1, mix, ship, written
 
 ORDER, BITS, SLOTS = 5, 12, 22
 #: rows of each kind that a model is fitted on (expected number), and its features
-POSITIVES, UNLABELLED, FEATURES = 2500, 8000, 2048
-PARTS = 16
+POSITIVES, UNLABELLED, FEATURES = 2500, 6000, 2048
+PARTS = 32
 
 
 @dataclass
@@ -135,23 +135,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def count(batches):
         """Presence counts of grams, as one blob for each part of the gram space."""
-        grams, pos, unl = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        g, pn, un = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         for b in batches:
             texts, p, u = b.column(0).to_pylist(), np.array(b.column(1)), np.array(b.column(2))
-            for i, j in textcodes.groups(texts):
+            for i, j in textcodes.groups(texts, 1 << 18):
                 codes, bounds = textcodes.stream(texts[i:j])
-                for k, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                    if y - 1 - x >= ORDER:
-                        g = np.unique(grams_of(codes[x : y - 1])[0])
-                        grams.append(g)
-                        pos.append(np.full(len(g), p[i + k], np.int64))
-                        unl.append(np.full(len(g), u[i + k], np.int64))
-        g, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        pn, un = np.bincount(inverse, np.concatenate(pos), len(g)), np.bincount(inverse, np.concatenate(unl), len(g))
+                own = [np.unique(grams_of(codes[x : y - 1])[0]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+                n = [len(x) for x in own]
+                # added to the counts so far, so that a task holds each gram once and a group's besides
+                g, inverse = np.unique(np.concatenate([g, *own]), return_inverse=True)
+                pn = np.bincount(inverse, np.concatenate([pn, np.repeat(p[i:j], n)]), len(g)).astype(np.int32)
+                un = np.bincount(inverse, np.concatenate([un, np.repeat(u[i:j], n)]), len(g)).astype(np.int32)
+                del own, inverse
         part = _slots(g) % PARTS
         for k in range(PARTS):
             own = part == k
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([g[own].tobytes()]), pa.array([pn[own].astype(np.int32).tobytes()]), pa.array([un[own].astype(np.int32).tobytes()])], ["part", "g", "p", "u"])
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([g[own].tobytes()]), pa.array([pn[own].tobytes()]), pa.array([un[own].tobytes()])], ["part", "g", "p", "u"])
 
     n = sample.agg(F.sum(F.col("p").cast("long")).alias("p"), F.sum(F.col("u").cast("long")).alias("u")).first()
     if not n["p"] or not n["u"]:
