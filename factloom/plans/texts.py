@@ -57,7 +57,7 @@ def phrase_longest_match(spark, sf_dir):
 
 
 def candidate_disambiguate(spark, sf_dir):
-    p = t(spark, sf_dir, "part").filter("p_partkey % 3 = 0").select(F.col("p_brand").alias("name"), F.col("p_type").alias("state"), "p_size", "p_partkey")
+    p = t(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_type").alias("state"), "p_size", "p_partkey")
     cand = p.groupBy("name", "state").agg(F.sum("p_size").alias("population"))
     votes = p.filter("p_partkey % 4 = 0").groupBy("name", F.when(F.col("p_partkey") % 5 == 0, F.lit("SMALL")).otherwise(F.lit("PROMO")).alias("state")).agg(F.count(F.lit(1)).alias("n"))
     return resolve.disambiguate(p.select("name").distinct(), cand, votes, min_votes=2)
