@@ -228,7 +228,7 @@ def feed_items(spark, sf_dir):
 
 def text_table_rows(spark, sf_dir):
     """Pages of figures as text lines, back to names and figures."""
-    n = order_facts(spark, sf_dir).filter("year % 2 = 0")
+    n = order_facts(spark, sf_dir)
     lines = n.groupBy("year").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "entity", "value"))), lambda x: F.concat(x["ord"].cast("string"), F.lit(" "), F.translate(x["entity"], "0123456789_", "abcdefghij "), F.lit(" "), F.format_number(F.floor(x["value"] / 1000), 0), F.lit(" NA"))), "\n").alias("page"))
     r = grid.text_rows(lines.withColumn("page", F.concat(F.lit("Table of orders\n(1) (2) (3)\n"), F.col("page"), F.lit("\nNote 12"))), "page", ["year"])
     return r.select("year", "name", F.array_join("figures", "|").alias("figures"))

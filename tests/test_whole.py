@@ -14,3 +14,9 @@ def test_candidates_come_from_all_parts(spark, sf):
     got = catalogue.QUERIES["candidate_disambiguate"](spark, sf).toPandas()
     assert rows(got) == whole(sf, "candidate_disambiguate", " where p_partkey % 3 = 0")
     assert got["n_candidates"].sum() == connect(sf).execute("select count(*) from (select distinct p_brand, p_type from part)").fetchone()[0]
+
+
+def test_every_year_has_a_page(spark, sf):
+    got = catalogue.QUERIES["text_table_rows"](spark, sf).toPandas()
+    assert rows(got) == whole(sf, "text_table_rows", " where year % 2 = 0")
+    assert {y % 2 for y in got["year"]} == {0, 1}
