@@ -236,9 +236,9 @@ def text_table_rows(spark, sf_dir):
 
 def sheet_facts(spark, sf_dir):
     """Header blocks: a sheet per region, two header rows, a Total row, back to facts."""
-    f = order_facts(spark, sf_dir).filter("year >= 1995")
-    w = Window.partitionBy("region").orderBy("entity")
-    body = f.select("region", "entity", "year", "value").withColumn("r", F.dense_rank().over(w) + 2).withColumn("c", F.col("year") - 1994)
+    f = order_facts(spark, sf_dir)
+    w = Window.partitionBy("region")
+    body = f.select("region", "entity", "year", "value").withColumn("r", F.dense_rank().over(w.orderBy("entity")) + 2).withColumn("c", F.dense_rank().over(w.orderBy("year")))
     cells = body.select(F.lit("f").alias("file"), F.col("region").alias("sheet"), "r", "c", F.lit(None).cast("string").alias("v_str"), F.col("value").alias("v_num"))
     names = body.select("region", "entity", "r").distinct().select(F.lit("f"), "region", "r", F.lit(0), "entity", F.lit(None).cast("double"))
     heads = body.select("region", "c", "year").distinct()

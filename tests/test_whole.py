@@ -1,5 +1,7 @@
 """Queries take all rows of their tables: held against SQL without filters on the base tables."""
 
+import shutil
+
 from duck import connect, rows
 
 from factloom.plans import catalogue
@@ -20,3 +22,14 @@ def test_every_year_has_a_page(spark, sf):
     got = catalogue.QUERIES["text_table_rows"](spark, sf).toPandas()
     assert rows(got) == whole(sf, "text_table_rows", " where year % 2 = 0")
     assert {y % 2 for y in got["year"]} == {0, 1}
+
+
+def test_sheets_have_all_years(spark, sf, tmp_path):
+    """Orders of 1995 to 1998 move to 1992 to 1995 and those of other years stay, so that years lack in between."""
+    for n in ("customer", "nation", "region"):
+        shutil.copy(f"{sf}/{n}.parquet", tmp_path)
+    moved = "case when year(o_orderdate) < 1999 then o_orderdate - interval 3 years else o_orderdate end"
+    connect(sf).execute(f"copy (select * replace (cast({moved} as timestamp) as o_orderdate) from orders) to '{tmp_path}/orders.parquet' (format parquet)")
+    got = catalogue.QUERIES["sheet_facts"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == whole(str(tmp_path), "sheet_facts", " where year >= 1995")
+    assert {x[-4:] for x in got["label"]} == {"1992", "1993", "1994", "1995", "1999", "2000", "2001"}
