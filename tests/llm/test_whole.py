@@ -1,0 +1,13 @@
+"""Stages lose no rows that they should keep."""
+
+import corpus_pipeline
+
+
+def test_clean_documents_without_or_with_shared_ids_stay(spark, docs, tmp_path):
+    item = " ".join(f"word{i}" for i in range(40))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (7, item), (7, "another clean text"), (8, "one more"), (9, "")]
+    df = docs(rows)
+    left = dict(corpus_pipeline.STAGES)["decontamination"](spark, df, str(tmp_path))
+    assert left.columns == df.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, (r for r in rows if item not in (r[1] or ""))))
