@@ -75,6 +75,11 @@ def op10_ngram_join(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join)}
 
 ORACLES = {
+    "op3_warc": r"""
+with t as (select page_id, url, coalesce(html, '') as p from pages),
+f as (select p, min(page_id) as first from t where strlen(p) >= 100 group by p),
+j as (select t.*, case when first < page_id then first end as refers_to from t left join f using (p))
+select page_id, strlen(p) as payload_bytes, sha256(p) as payload_digest, case when refers_to is null then 'response' else 'revisit' end as record_type, refers_to, url from j""",
     "op6_url_filter": r"""
 with u as (select page_id, strpos(url, '://') as pos, url from pages),
 p as (select page_id, case when coalesce(pos, 0) = 0 then '' else substr(url, pos + 3) end as rest from u),

@@ -25,6 +25,10 @@ from factloom.llm.url_filter import url_parts
 #: payloads from this size on may be revisits; captures in a block; rows of repeated digests that are broadcast
 REVISIT_BYTES, BLOCK_LINES, BROADCAST_DIGESTS = 100, 256, 100_000
 DATE = "1970-01-01T00:00:00Z"
+#: marks a target URI that had line breaks
+ESCAPED = "X-Target-URI-Escaped: yes"
+#: records that a writer or a reader holds at once
+SLICE = 256
 #: the id of captures without one, in keys
 NO_ID = -(1 << 63)
 
@@ -37,15 +41,20 @@ def surt(url: Column) -> Column:
     return F.when(url.isNull(), F.lit("")).when(host == "", F.concat(F.lit(")"), url)).otherwise(key)
 
 
-def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
-    """One record as a gzip member; a revisit keeps the HTTP header (with the payload's length), not the payload."""
+def record(page_id, url, payload: bytes, digest: str, refers_to, spare: str = "0") -> bytes:
+    """One record as a gzip member; a revisit keeps the HTTP header (with the payload's length), not the payload.
+
+    The target URI is the url as it is, but for one with a line break, which a header cannot hold: its %, CR and LF are
+    written as %25, %0D and %0A and a header says so. ``spare`` makes the record ID of a page without id.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
-    if page_id is not None:
-        head.append(f"WARC-Record-ID: <urn:page:{page_id}>")
-    if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}",
+            f"WARC-Record-ID: <urn:page:{page_id}>" if page_id is not None else f"WARC-Record-ID: <urn:capture:{spare}>"]
+    if url is not None and ("\r" in url or "\n" in url):
+        head += ["WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"), ESCAPED]
+    elif url is not None:
+        head.append("WARC-Target-URI: " + url)
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -60,12 +69,14 @@ def parse(member: bytes) -> dict:
     h = dict(x.split(": ", 1) for x in head.decode("utf-8", "surrogatepass").split("\r\n")[1:])
     http, _, payload = rest[: int(h["Content-Length"])].partition(b"\r\n\r\n")
     size = int(next(x for x in http.split(b"\r\n") if x.startswith(b"Content-Length: "))[16:])
-    urn = lambda k: int(h[k][10:-1]) if k in h else None
+    urn = lambda k: int(h[k][10:-1]) if h.get(k, "").startswith("<urn:page:") else None
     digest = h["WARC-Payload-Digest"][7:]
     if h["WARC-Type"] == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"the payload of {h.get('WARC-Record-ID')} is damaged")
     url = h.get("WARC-Target-URI")
-    return {"page_id": urn("WARC-Record-ID"), "url": url and url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%"), "payload": payload,
+    if ESCAPED.split(": ")[0] in h:
+        url = url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+    return {"page_id": urn("WARC-Record-ID"), "url": url, "payload": payload,
             "payload_bytes": size, "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": urn("WARC-Refers-To")}
 
 
@@ -101,13 +112,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 f = fs.open_output_stream(path, compression=None)
             offsets, lengths = [], []
-            cols = [b.column(n).to_pylist() for n in ("id", "url", "payload", "digest", "refers_to")]
-            for row in zip(*cols, strict=True):
-                m = record(*row)
-                f.write(m)
-                offsets.append(at)
-                lengths.append(len(m))
-                at += len(m)
+            for x in range(0, b.num_rows, SLICE):
+                cols = [b.column(n).slice(x, SLICE).to_pylist() for n in ("id", "url", "payload", "digest", "refers_to")]
+                for row in zip(*cols, strict=True):
+                    m = record(*row, spare=f"{task.partitionId()}-{task.taskAttemptId()}-{at}")
+                    f.write(m)
+                    offsets.append(at)
+                    lengths.append(len(m))
+                    at += len(m)
             yield pa.record_batch([b.column("key"), b.column("id").fill_null(NO_ID), pa.array([uri] * b.num_rows), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], ["key", "id", "file", "offset", "length"])
         if f is not None:
             f.close()
@@ -161,12 +173,17 @@ class Reader:
 
     def _open(self, uri: str):
         if uri not in self.handles:
-            if len(self.handles) > 64:
-                self.handles.clear()
+            if len(self.handles) >= 16:
+                self.close()
             fs, path = filesystem(uri)
             self.handles[uri] = fs.open_input_file(path)
         return self.handles[uri]
 
+    def close(self) -> None:
+        for f in self.handles.values():
+            f.close()
+        self.handles.clear()
+
     def _range(self, uri: str, offset: int, length: int) -> bytes:
         f = self._open(uri)
         f.seek(offset)
@@ -218,7 +235,11 @@ class Reader:
 
 
 def read_back(pages: DataFrame, index: Index, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """Looks up every distinct (url, id) of ``pages``: one row per record found, from the archives."""
+    """Looks up every distinct (url, id) of ``pages``: one row per record found, from the archives.
+
+    Rows that repeat url and id have a record each, all of which are found; a null url or id is looked up as such. An
+    empty table gives none; extra columns are ignored.
+    """
     keys = pages.select(surt(F.col(url_col)).alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id")).distinct()
     keys = keys.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
@@ -228,13 +249,22 @@ def read_back(pages: DataFrame, index: Index, id_col: str = "page_id", url_col:
         for b in batches:
             spans = [c for k, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for c in reader.captures(k, i)]
             spans.sort()  # archive order: neighbouring ranges are read one after the other
-            got = [reader.record(*s) for s in spans]
-            yield pa.record_batch([pa.array([g[n] for g in got], pa.string() if n in ("payload_digest", "record_type", "url") else pa.int64()) for n in names], [id_col, *names[1:]])
+            got = []
+            for s in spans:
+                r = reader.record(*s)  # its payload has been checked against its digest and is not kept
+                got.append([r[n] for n in names])
+            cols = zip(*got, strict=True) if got else [[]] * len(names)
+            yield pa.record_batch([pa.array(c, pa.string() if n in ("payload_digest", "record_type", "url") else pa.int64()) for n, c in zip(names, cols, strict=True)], [id_col, *names[1:]])
+        reader.close()
 
     return keys.mapInArrow(look, f"`{id_col}` long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", folder: str | None = None) -> DataFrame:
-    """Writes ``pages`` as archives with their index into the shared folder and reads every record back through the index."""
+    """Writes ``pages`` as archives with their index into the shared folder and reads every record back through the index.
+
+    One row per row of ``pages``: page_id, payload_bytes, payload_digest, record_type, refers_to, url. Extra columns are
+    ignored, whatever their names; an empty table gives none.
+    """
     folder = folder or shared_dir(pages.sparkSession, "warc")
     return read_back(pages, build_index(write_archives(pages, folder, id_col, url_col, html_col), folder), id_col, url_col)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 
@@ -82,12 +83,23 @@ def test_archives(spark, tmp_path):
         first = 1 if h == big and i is not None and i > 1 else None
         want.append(str((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if first else "response", first)))
     assert got == sorted(want)
+    assert sorted(map(str, ((r["page_id"], r["url"]) for r in warc.read_back(df, index).collect()))) == sorted(map(str, ((r[0], r[1]) for r in rows)))
     reader = warc.Reader(index)
     assert [reader.record(*c)["url"] for c in reader.captures("com,example,b)/x", 4)] == ["http://b.example.com/x"]
     assert reader.captures("zz", 1) == [] == reader.captures("", 12345)
     assert warc.archive_and_read(df.filter("page_id < 0"), folder=f"{folder}/none").collect() == []
 
 
+def test_records_name_the_url_as_it_is():
+    raw = zlib.decompress(warc.record(1, "http://x/a%20b", b"", "d", None), 31)
+    assert b"\r\nWARC-Target-URI: http://x/a%20b\r\n" in raw and b"\r\nWARC-Record-ID: <urn:page:1>\r\n" in raw
+    digest = hashlib.sha256(b"p").hexdigest()
+    for url in ("http://x/a%0Ab", "a\nb%0A", "\r", "", None):
+        got = warc.parse(warc.record(None, url, b"p", digest, None, spare="3-1-0"))
+        assert (got["url"], got["page_id"]) == (url, None)
+    assert b"WARC-Record-ID: <urn:capture:3-1-0>" in zlib.decompress(warc.record(None, None, b"", "d", None, spare="3-1-0"), 31)
+
+
 def test_clean_documents_stay(spark):
     """On a table with some dozens of toxic texts to learn from; the smallest table has a handful."""
     sf = "/root/testdata/sf0.01"
