@@ -17,9 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm import simple8b, textcodes
+from factloom.llm import simple8b
 from factloom.llm.common import filesystem, shared_dir, ship
-from factloom.llm.tokens import encoder
+from factloom.llm.tokens import encoder, groups
 
 MAGIC = b"FLTOKID1"
 
@@ -131,9 +131,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
         for b in batches:
             if out is None and b.num_rows:
                 out = TokenWriter(uri, f"tmp-{task.taskAttemptId()}")
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in textcodes.groups(texts):
-                ids, bounds = enc.encode(texts[i:j], end)
+            names, texts = b.column(0).to_pylist(), b.column(1)
+            for i, j in groups(texts):
+                ids, bounds = enc.encode(texts.slice(i, j - i), end)
                 out.add(names[i:j], bounds, ids)
         if out is not None:
             yield pa.record_batch([pa.array([task.partitionId()]), pa.array([uri]), pa.array([out.close()])], ["part", "uri", "n"])
