@@ -15,14 +15,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm import textcodes
 from factloom.llm.common import ship
 from factloom.llm.token_file import in_order
-from factloom.llm.tokens import KEPT, encoder
+from factloom.llm.tokens import KEPT, encoder, groups
 
 WINDOW, SENTENCE, HARD, OPENING = 1024, 2, 12, 24
 #: ids that are planned together; a plan ends with a document, so a longer document is planned alone
 PLAN = 1 << 20
+#: bytes of text that are encoded together: about as many ids as are planned together
+TEXT = 5 << 19
 _ENDS: dict[str, np.ndarray] = {}
 
 
@@ -130,9 +131,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             null = np.array([x is None for x in held])
             return rows(np.array([x or 0 for x in held], np.int64), null, np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), ends, used)
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in textcodes.groups(texts):
-                ids, bounds = enc.encode(texts[i:j], end)
+            names, texts = b.column(0).to_pylist(), b.column(1)
+            for i, j in groups(texts, TEXT):
+                ids, bounds = enc.encode(texts.slice(i, j - i), end)
                 held += names[i:j]
                 parts.append(ids)
                 sizes.append(np.diff(bounds))
