@@ -5,25 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.session import written
+from factloom.session import discard, written
 
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node.
 
-    Each round takes the least label among a node's neighbours, then jumps to that label's own label, so long chains
-    shrink geometrically. Rounds are written to the shared folder; if labels still move after ``max_rounds``, that is
-    an error, never a truncated answer. Edges with a null end are ignored.
+    Each round maps every node to its least neighbour's least neighbour (twice over, so that long chains shrink
+    geometrically) and contracts the edges by that map: components that are done have no edge left and take no part in
+    later rounds. The maps, ever smaller, are joined one after the other in the end. Rounds are written to the shared
+    folder and the edges of a round are deleted once they are contracted; if edges are left after ``max_rounds``, that
+    is an error, never a truncated answer. Edges with a null end are ignored.
     """
     e = edges.select(F.col(a).alias("src"), F.col(b).alias("dst")).filter("src is not null and dst is not null and src <> dst")
-    e = written(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
-    labels = written(e.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("component")), "labels")
+    e = written(e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
+    total = None
     for _ in range(max_rounds):
-        near = e.join(labels.select(F.col("node").alias("dst"), "component"), "dst").groupBy("src").agg(F.min("component").alias("m"))
-        step = labels.join(near.withColumnRenamed("src", "node"), "node").select("node", F.col("component").alias("was"), F.least("component", "m").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("component").alias("further"))
-        moved = written(step.join(jump, "to").select("node", "was", F.least("to", "further").alias("component")), "labels")
-        labels = moved.drop("was")
-        if moved.filter("was <> component").isEmpty():
-            return labels
-    raise RuntimeError(f"components still change after {max_rounds} rounds")
+        both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        to = written(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("to")), "hooks")
+        further = to.select(F.col("node").alias("to"), F.col("to").alias("further"))
+        for _ in range(2):  # the map's own image, then that one's
+            to = to.join(further, "to").select("node", F.col("further").alias("to"))
+        to = written(to, "hooks")
+        total = to if total is None else _composed(total, to)
+        ends = to.select(F.col("node").alias("src"), F.col("to").alias("s")), to.select(F.col("node").alias("dst"), F.col("to").alias("d"))
+        rest = e.join(ends[0], "src").join(ends[1], "dst").filter("s <> d").select(F.greatest("s", "d").alias("src"), F.least("s", "d").alias("dst")).distinct()
+        old, e = e, written(rest, "edges")
+        discard(old)
+        if e.isEmpty():
+            return total.withColumnRenamed("to", "component")
+    raise RuntimeError(f"edges are left after {max_rounds} rounds")
+
+
+def _composed(first: DataFrame, then: DataFrame) -> DataFrame:
+    """``then`` after ``first``; nodes that ``then`` lacks stay where they are."""
+    then = then.select(F.col("node").alias("to"), F.col("to").alias("further"))
+    return first.join(then, "to", "left").select("node", F.coalesce("further", "to").alias("to"))

@@ -36,10 +36,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder's URI below spark.checkpoint.dir; only where that is unset (tests) a local one is set."""
+    """A fresh folder's URI below spark.checkpoint.dir; only where that is unset (tests on one machine) a local one is set."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="factloom-shared-")
         sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
@@ -51,3 +53,11 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = shared_dir(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a table made by ``written`` that nothing will read any more."""
+    spark = df.sparkSession
+    for name in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
