@@ -11,7 +11,8 @@ DataFrame functions only. Steps:
 3. Each window and each item gets a 64-bit SimHash, weighted by how often a shingle occurs in it. Multi-index: the
    64 bits are cut into ``blocks`` blocks; a pair within ``radius`` = blocks * (block_radius + 1) - 1 bits agrees in
    some block up to block_radius bits, so items are indexed under every such variant and windows probe each block.
-4. Pairs within the radius are verified by weighted Jaccard similarity (weights: occurrences), 0.8 or more.
+4. Pairs within the radius are verified by weighted Jaccard similarity (weights: occurrences), 0.8 or more. A window
+   that many documents share is verified once.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from factloom.llm.common import if_small, written
 
 #: word shingles of the benchmark up to this count are broadcast for the confirming join
 BROADCAST_SHINGLES = 500_000
+#: and the windows found contaminated, up to this many bytes
+BROADCAST_BYTES = 32 << 20
 SHINGLE, SIMILARITY, BLOCKS, BLOCK_RADIUS = 5, 0.8, 4, 4
 #: the bit set has at most 2^24 bits (2 MB) whatever the benchmark's size
 MAX_BITS = 24
@@ -84,7 +87,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words, from 0; the smallest among equals), window_shingles, hamming, similarity.
 
     Null and empty texts, on either side, match nothing. Repeated documents or items give one row per id pair.
-    A null id is an id of its own. Extra columns are ignored.
+    A null id is an id of its own. Extra columns are ignored. An empty table on either side gives none.
     """
     spark, width = docs.sparkSession, 64 // blocks
     items = held(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "w", words(F.col("text"))).drop("text").filter(F.size("w") > 0).distinct()
@@ -118,21 +121,25 @@ def _matches(docs, items, k, planes, bits, total, longest, similarity, blocks, b
     d = held(d, "sh", shingles(F.col("w"), k)).drop("w").withColumn("set", dense.scalar())
     # positions whose shingle may be one of an item's, with the longest window from there on
     hit = F.filter(F.transform(F.col("sh"), lambda h, i: F.when(F.getbit(F.get(F.col("set"), word(h)), low(h)) == 1, i)), lambda i: i.isNotNull())
-    win = held(d, "hit", hit).select("id", F.explode(F.transform("hit", lambda i: F.struct(i.alias("start"), F.slice(F.col("sh"), i + 1, longest).alias("ahead")))).alias("w"))
-    win = win.select("id", "w.start", "w.ahead", F.get("w.ahead", F.lit(0)).alias("h"))
+    # one window a row, cut out after the generator: a row never holds all windows of a text
+    win = held(d, "hit", hit).select("id", "sh", F.explode("hit").alias("start"))
+    win = win.select("id", "start", F.slice("sh", F.col("start") + 1, longest).alias("ahead"), F.get("sh", F.col("start")).alias("h"))
     win = win.join(if_small(starts, total, BROADCAST_SHINGLES), "h").select("id", "start", "n", F.slice("ahead", F.lit(1), F.col("n")).alias("sh"))
     win = written(held(win, "fp", simhash(F.col("sh"), planes)), "windows")  # used twice
 
     # multi-index over distinct fingerprints: the items' side holds every variant within block_radius bits
     variants = F.filter(F.sequence(F.lit(0).cast("bigint"), F.lit((1 << width) - 1).cast("bigint")), lambda v: F.bit_count(v) <= block_radius)
-    index = it.select("item", "n", "fp", "own", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b, width).alias("v")) for b in range(blocks)])).alias("x"))
-    index = index.withColumn("flip", F.explode(variants)).select(F.col("n"), F.col("x.block").alias("block"), F.col("x.v").bitwiseXOR(F.col("flip")).alias("v"), F.col("fp").alias("item_fp")).distinct()
+    index = it.select("item", "n", "fp", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b, width).alias("v")) for b in range(blocks)])).alias("x"))
+    index = index.repartition("item", "x").withColumn("flip", F.explode(variants)).select(F.col("n"), F.col("x.block").alias("block"), F.col("x.v").bitwiseXOR(F.col("flip")).alias("v"), F.col("fp").alias("item_fp")).distinct()
     probe = win.select("n", "fp").distinct().select("n", "fp", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b, width).alias("v")) for b in range(blocks)])).alias("x"))
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     # the index's size is underestimated (generators count as one row), hence the hint: it is never broadcast
     near = probe.select("n", "fp", "x.block", "x.v").join(index.hint("merge"), ["n", "block", "v"]).filter(hamming <= blocks * (block_radius + 1) - 1).select("n", "fp", "item_fp").distinct()
 
     own = it.select("item", "n", F.col("fp").alias("item_fp"), "own")
-    pair = with_occurrences(win.join(near.join(own, ["n", "item_fp"]), ["n", "fp"]), "sh", "theirs")
-    return held(pair, "both", F.size(F.array_intersect("theirs", "own"))).withColumn("similarity", F.col("both") / (F.size("theirs") + F.size("own") - F.col("both"))).filter(F.col("similarity") >= similarity) \
-        .select("id", "item", F.col("start").cast("long").alias("start"), "n", hamming.alias("hamming"), "similarity")
+    distinct = win.select("n", "fp", "sh").distinct().withColumn("theirs", F.col("sh"))
+    pair = with_occurrences(distinct.join(near.join(own, ["n", "item_fp"]), ["n", "fp"]), "theirs", "theirs_own")
+    pair = held(pair, "both", F.size(F.array_intersect("theirs_own", "own"))).withColumn("similarity", F.col("both") / (F.size("theirs_own") + F.size("own") - F.col("both")))
+    sure = written(pair.filter(F.col("similarity") >= similarity).select("n", "fp", "sh", "item", hamming.alias("hamming"), "similarity"), "contaminated-windows")
+    heft = sure.agg(F.sum(F.size("sh") * 8 + 64)).first()[0] or 0
+    return win.join(if_small(sure, heft, BROADCAST_BYTES), ["n", "fp", "sh"]).select("id", "item", F.col("start").cast("long").alias("start"), "n", "hamming", "similarity")
