@@ -24,6 +24,27 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def trim() -> None:
+    """Gives memory that earlier tasks of this Python worker have freed back to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names for helper columns that no column of ``columns`` has."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast only if the counted ``rows`` are within ``limit``; otherwise the join shuffles."""
     return F.broadcast(df) if rows <= limit else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import if_small, written
+from factloom.llm.common import if_small, unused, written
 
 #: repeated hashes up to this count are broadcast when copies are dropped
 BROADCAST_GROUPS = 200_000
@@ -51,19 +51,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``docs``, all columns, but one row of each group of equal texts: that with the best id.
 
-    Rows that repeat both id and text count as one. A row without id stays only if its whole group has none.
+    Rows that repeat both id and text count as one. A row without id stays only if its whole group has none. Null texts
+    equal empty ones. Columns of any name are kept as they are; an empty table gives none.
     """
     best = {"min": F.min, "max": F.max}[keep]
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(docs[id_col].alias("id"), text.alias("text")).withColumn("h", F.unhex(F.md5("text")))
     classes = _classes(own, best)
-    many = classes.filter("group_size > 1").select(F.col("h").alias("_h"), F.col("sha").alias("_sha"), F.col("keep_id").alias("_keep"), F.lit(True).alias("_many"))
-    rows, on = docs.withColumn("_h", F.unhex(F.md5(text))), ["_h"]
+    h, sha, best_id, found_many = unused(docs.columns, "text_hash", "text_digest", "best_id", "has_copies")
+    many = classes.filter("group_size > 1").select(F.col("h").alias(h), F.col("sha").alias(sha), F.col("keep_id").alias(best_id), F.lit(True).alias(found_many))
+    rows, on = docs.withColumn(h, F.unhex(F.md5(text))), [h]
     if _clashes(classes):
-        rows, on = rows.withColumn("_sha", F.unhex(F.sha2(text, 256))), ["_h", "_sha"]
+        rows, on = rows.withColumn(sha, F.unhex(F.sha2(text, 256))), [h, sha]
     else:
-        many = many.drop("_sha")
+        many = many.drop(sha)
     found = rows.join(if_small(many, many.count(), BROADCAST_GROUPS), on, "left")
-    alone = found.filter(F.col("_many").isNull())
-    kept = found.filter(F.col("_many") & F.col(id_col).eqNullSafe(F.col("_keep"))).dropDuplicates([id_col, *on])
+    alone = found.filter(F.col(found_many).isNull())
+    kept = found.filter(F.col(found_many) & F.col(id_col).eqNullSafe(F.col(best_id))).dropDuplicates([id_col, *on])
     return alone.unionByName(kept).select(*docs.columns)

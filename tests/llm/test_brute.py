@@ -154,6 +154,14 @@ def test_exact_dedup(docs):
     assert exact_dedup.exact_dedup(docs([])).collect() == [] == exact_dedup.drop_copies(docs([])).collect()
 
 
+def test_copies_are_dropped_whatever_the_columns_are_called(docs):
+    names = ["_h", "_sha", "_keep", "_many", "text_hash", "text_digest", "best_id", "has_copies", "h", "keep_id", "group_size"]
+    df = docs([(2, "a"), (1, "a"), (3, None), (4, ""), (5, "b")]).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names if n != "h"], "1 as text_")
+    kept = exact_dedup.drop_copies(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"], r["_h"], r["best_id"], r["text_hash"]) for r in kept.collect()) == [(i, f"_h{i}", f"best_id{i}", f"text_hash{i}") for i in (1, 3, 5)]
+
+
 def multiset_similarity(a, b):
     from collections import Counter
 
