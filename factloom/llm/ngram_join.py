@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import K1, K2, filesystem, if_small, mix, shared_dir, ship, span_hashes, utf8
+from factloom.llm.common import K1, K2, filesystem, if_small, mix, shared_dir, ship, span_hashes, trim, utf8
 from factloom.operators.graph import connected_components
 from factloom.session import written
 
@@ -40,7 +40,7 @@ GROUP, TOKENS, KEYS = 1 << 19, 300_000, 600_000
 #: pivots; rounds in which all tasks part large regions
 CHUNK, MASS, LEAF, PIVOTS, ROUNDS = 3000, 2_000_000, 1, 8, 12
 #: a part of the key space for every 2^24 bytes of text; sets that a task remembers; large regions that are broadcast
-PART_BITS, SEEN, BROADCAST_REGIONS = 24, 200_000, 10_000
+PART_BITS, SEEN, BROADCAST_REGIONS = 24, 50_000, 10_000
 #: documents (expected) that frequent shingles are looked for in, and in how many of them they must be
 SAMPLE, FREQUENT = 4000, 5
 #: ids to drop up to this count are broadcast
@@ -334,6 +334,7 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int, id_col: str = "do
     able = met.filter("kind = 0").groupBy("a", "bit").agg(F.sum("b").alias("n")).filter("n >= 0").select(F.col("a").alias("d")).distinct()
 
     def to_sets(batches):
+        trim()
         for b in batches:
             _, offs = utf8(b.column("text"))
             for x, y in byte_groups(offs, TOKENS * 16):
@@ -382,6 +383,7 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
     smallest document a that has it.
     """
     def keys(batches):
+        trim()
         seen: dict[tuple, int] = {}
         got, needs, copies, n = [], [], [], 0
 

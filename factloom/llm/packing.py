@@ -15,15 +15,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import ship
+from factloom.llm.common import ship, trim
 from factloom.llm.token_file import in_order
 from factloom.llm.tokens import KEPT, encoder, groups
 
 WINDOW, SENTENCE, HARD, OPENING = 1024, 2, 12, 24
 #: ids that are planned together; a plan ends with a document, so a longer document is planned alone
 PLAN = 1 << 20
-#: bytes of text that are encoded together: about as many ids as are planned together
-TEXT = 5 << 19
+#: bytes of text that are encoded together
+TEXT = 1 << 20
 _ENDS: dict[str, np.ndarray] = {}
 
 
@@ -125,6 +125,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c.astype(np.int64)) for c in cols], names), len(cuts) - 1
 
     def work(batches):
+        trim()
         enc, ends, used = encoder(tokenizer, kept), sentence_ends(tokenizer), TaskContext.get().partitionId() << 40
         held, parts, sizes, n = [], [], [], 0
         def flush():

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm import simple8b
-from factloom.llm.common import filesystem, shared_dir, ship
+from factloom.llm.common import filesystem, shared_dir, ship, trim
 from factloom.llm.tokens import encoder, groups
 
 MAGIC = b"FLTOKID1"
@@ -127,6 +127,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
     folder = folder or shared_dir(docs.sparkSession, "tokens")
 
     def write(batches):
+        trim()
         enc, task, out, uri = encoder(tokenizer), TaskContext.get(), None, f"{folder}/part-{TaskContext.get().partitionId():06d}.ids"
         for b in batches:
             if out is None and b.num_rows:

@@ -21,7 +21,7 @@ KEPT = 2_000_000
 #: other pieces kept in a worker (some 300 bytes each)
 OTHERS = 100_000
 #: bytes of text that are cut and looked up together; a longer text is alone
-GROUP = 4 << 20
+GROUP = 2 << 20
 #: bytes of the longest word or run of marks that the table takes
 LONGEST = 16
 _SPACE, _FEED, _LETTER, _MARK, _OTHER = range(5)
