@@ -26,8 +26,6 @@ from factloom.llm.common import if_small, written
 
 #: word shingles of the benchmark up to this count are broadcast for the confirming join
 BROADCAST_SHINGLES = 500_000
-#: and the windows found contaminated, up to this many bytes
-BROADCAST_BYTES = 32 << 20
 SHINGLE, SIMILARITY, BLOCKS, BLOCK_RADIUS = 5, 0.8, 4, 4
 #: the bit set has at most 2^24 bits (2 MB) whatever the benchmark's size
 MAX_BITS = 24
@@ -141,5 +139,4 @@ def _matches(docs, items, k, planes, bits, total, longest, similarity, blocks, b
     pair = with_occurrences(distinct.join(near.join(own, ["n", "item_fp"]), ["n", "fp"]), "theirs", "theirs_own")
     pair = held(pair, "both", F.size(F.array_intersect("theirs_own", "own"))).withColumn("similarity", F.col("both") / (F.size("theirs_own") + F.size("own") - F.col("both")))
     sure = written(pair.filter(F.col("similarity") >= similarity).select("n", "fp", "sh", "item", hamming.alias("hamming"), "similarity"), "contaminated-windows")
-    heft = sure.agg(F.sum(F.size("sh") * 8 + 64)).first()[0] or 0
-    return win.join(if_small(sure, heft, BROADCAST_BYTES), ["n", "fp", "sh"]).select("id", "item", F.col("start").cast("long").alias("start"), "n", "hamming", "similarity")
+    return win.join(sure, ["n", "fp", "sh"]).select("id", "item", F.col("start").cast("long").alias("start"), "n", "hamming", "similarity")
