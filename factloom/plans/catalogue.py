@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from factloom.plans import facts, texts, texts_sql
+from factloom.plans import facts, flows, flows_sql, texts, texts_sql
 
 FLAGSHIP = "sum_check_national"
-QUERIES: dict = {**facts.QUERIES, **texts.QUERIES}
-ORACLES: dict = {**facts.ORACLES, **texts_sql.ORACLES}
+QUERIES: dict = {**facts.QUERIES, **texts.QUERIES, **flows.QUERIES}
+ORACLES: dict = {**facts.ORACLES, **texts_sql.ORACLES, **flows_sql.ORACLES}
