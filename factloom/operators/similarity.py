@@ -6,22 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators.graph import connected_components
+from factloom.session import written
 
 
 def overlap_pairs(df: DataFrame, key: str, sketch: str, least: float, within: list[str] | None = None) -> DataFrame:
     """Pairs (a < b) whose sketches have an overlap coefficient of ``least`` or more, by an inverted index.
 
     Only sketches of one group (``within``, null equals null) meet; empty sketches never match. Documents with one
-    and the same sketch meet the index once, as their smallest key, and are paired with its matches afterwards.
+    and the same sketch meet the index once, as their smallest key, and are paired with its matches afterwards. The
+    result has every pair, so it is as large as the groups of similar sketches are; ``similar_edges`` is not.
     """
     within = within or []
     group = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in within]) if within else F.lit(0)
     t = df.select(F.col(key).alias("id"), group.alias("g"), F.col(sketch).alias("s")).filter(F.size("s") > 0)
-    member = t.groupBy("g", "s").agg(F.min("id").alias("rep"), F.collect_list("id").alias("ids"))
-    index = member.select("g", "rep", F.size("s").alias("n"), F.explode("s").alias("token"))
-    other = index.select("g", "token", F.col("rep").alias("rep_b"), F.col("n").alias("n_b"))
-    shared = index.join(other, ["g", "token"]).filter(F.col("rep") < F.col("rep_b")).groupBy("rep", "rep_b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
-    near = shared.withColumn("overlap", F.col("shared") / F.least("n", "n_b")).filter(F.col("overlap") >= least).select("rep", "rep_b", "overlap")
+    # written: sketches are dear, and are read for the index, the check and the pairs of copies
+    member = written(t.groupBy("g", "s").agg(F.min("id").alias("rep"), F.collect_list("id").alias("ids")), "sketches")
+    near = _near(member.select("g", "rep", "s"), least)
     ids = member.select("rep", "ids")
     cross = near.join(ids, "rep").withColumn("x", F.explode("ids")).drop("ids").join(ids.select(F.col("rep").alias("rep_b"), "ids"), "rep_b").withColumn("y", F.explode("ids"))
     same = ids.filter(F.size("ids") > 1).withColumn("x", F.explode("ids")).withColumn("y", F.explode("ids")).filter("x < y").withColumn("overlap", F.lit(1.0))
@@ -29,6 +29,28 @@ def overlap_pairs(df: DataFrame, key: str, sketch: str, least: float, within: li
     return pair(cross).unionByName(pair(same))
 
 
+def _near(reps: DataFrame, least: float) -> DataFrame:
+    """(rep, rep_b, overlap) of different sketches (g, rep, s; arrays of distinct tokens), rep < rep_b.
+
+    A pair whose smaller sketch has m tokens shares at least k = ceil(least * m) of them, so one of the n - k + 1 rarest
+    tokens of either is shared: only these are indexed, once for each size m that the group has, and the frequent tokens,
+    which would pair nearly everything, are left out.
+    """
+    tokens = reps.select("g", "rep", F.size("s").alias("n"), F.explode("s").alias("token"))
+    df = tokens.groupBy("g", "token").agg(F.count(F.lit(1)).alias("df"))
+    sizes = reps.groupBy("g").agg(F.array_sort(F.collect_set(F.size("s"))).alias("sizes"))
+    ordered = tokens.join(df, ["g", "token"]).groupBy("g", "rep", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("rare")).join(sizes, "g")
+    need = lambda m: F.ceil(F.lit(least) * m - F.lit(1e-9)).cast("int")
+    rows = ordered.withColumn("m", F.explode(F.filter("sizes", lambda m: m <= F.col("n"))))
+    rows = rows.select("g", "rep", "n", "m", F.explode(F.slice("rare", F.lit(1), F.col("n") - F.greatest(need(F.col("m")), F.lit(1)) + 1)).alias("token"))
+    small = rows.filter("n = m").select("g", "m", "token", F.col("rep").alias("x"))
+    other = rows.select("g", "m", "token", F.col("rep").alias("y"), "n")
+    met = small.join(other, ["g", "m", "token"]).filter((F.col("x") < F.col("y")) | (F.col("n") > F.col("m")) & (F.col("x") != F.col("y"))).select(F.least("x", "y").alias("rep"), F.greatest("x", "y").alias("rep_b")).distinct()
+    own = reps.select("rep", F.col("s").alias("a"))
+    pairs = met.join(own, "rep").join(own.select(F.col("rep").alias("rep_b"), F.col("a").alias("b")), "rep_b")
+    return pairs.select("rep", "rep_b", (F.size(F.array_intersect("a", "b")) / F.least(F.size("a"), F.size("b"))).alias("overlap")).filter(F.col("overlap") >= least)
+
+
 def day_band_pairs(df: DataFrame, key: str, day: str, within: list[str], gap: int = 1) -> DataFrame:
     """Pairs (a < b) of one group at most ``gap`` days apart: each row meets the days ahead of it by equi-join."""
     a = df.select(F.col(key).alias("a"), F.col(day).alias("_da"), *within, F.explode(F.sequence(F.lit(0), F.lit(gap))).alias("_k")).withColumn("_d", F.date_add("_da", F.col("_k")))
@@ -42,10 +64,11 @@ def similar_edges(df: DataFrame, key: str, sketch: str, least: float, within: li
     within = within or []
     group = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in within]) if within else F.lit(0)
     t = df.select(F.col(key).alias("id"), group.alias("g"), F.col(sketch).alias("s")).filter(F.size("s") > 0)
+    t = written(t, "sketches")
     reps = t.groupBy("g", "s").agg(F.min("id").alias("rep"))
     copies = t.join(reps, ["g", "s"]).filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    found = overlap_pairs(reps.select(F.col("rep").alias("id"), F.to_json(F.struct("g")).alias("g"), "s"), "id", "s", least, ["g"])
-    return found.select("a", "b").unionByName(copies)
+    found = _near(reps.select("g", "rep", "s"), least)
+    return found.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).unionByName(copies)
 
 
 def clusters(df: DataFrame, key: str, edges: DataFrame) -> DataFrame:
