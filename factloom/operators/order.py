@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators.names import unused
+
 
 def _w(keys, order):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -15,21 +17,24 @@ def run_id(df: DataFrame, keys: list[str], order: list[str], value: str, name: s
     w = _w(keys, order)
     first = F.row_number().over(w) == 1
     changed = F.when(first | ~F.col(value).eqNullSafe(F.lag(value).over(w)), 1).otherwise(0)
-    return df.withColumn("_c", changed).withColumn(name, F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_c")
+    (c,) = unused([*df.columns, name], "changed")
+    return df.withColumn(c, changed).withColumn(name, F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop(c)
 
 
 def blocks_closed_by(df: DataFrame, keys: list[str], order: list[str], closes: Column, name: str = "block") -> DataFrame:
     """Blocks (from 1) that end with the row for which ``closes`` holds."""
     w = _w(keys, order)
-    df = df.withColumn("_e", F.coalesce(closes, F.lit(False)).cast("int"))
-    return df.withColumn(name, 1 + F.coalesce(F.sum("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_e")
+    (end,) = unused([*df.columns, name], "ends")
+    df = df.withColumn(end, F.coalesce(closes, F.lit(False)).cast("int"))
+    return df.withColumn(name, 1 + F.coalesce(F.sum(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop(end)
 
 
 def carry_down(df: DataFrame, keys: list[str], order: list[str], value: Column, resets: Column, name: str = "context") -> DataFrame:
     """The last non-null ``value`` up to a row; a row that ``resets`` still sees it, later ones do not."""
-    df = blocks_closed_by(df.withColumn("_v", value), keys, order, resets, "_seg")
-    w = _w([*keys, "_seg"], order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last("_v", ignorenulls=True).over(w)).drop("_v", "_seg")
+    v, seg = unused([*df.columns, name], "carried", "segment")
+    df = blocks_closed_by(df.withColumn(v, value), keys, order, resets, seg)
+    w = _w([*keys, seg], order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(name, F.last(v, ignorenulls=True).over(w)).drop(v, seg)
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
@@ -61,5 +66,6 @@ def elimination_fill(df: DataFrame, keys: list[str], order: list[str], code: str
 def adjacent_distinct(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """The rows whose value differs from the row before."""
     w = _w(keys, order)
-    return df.withColumn("_p", F.lag(value).over(w)).withColumn("_r", F.row_number().over(w)) \
-        .filter((F.col("_r") == 1) | ~F.col(value).eqNullSafe(F.col("_p"))).drop("_p", "_r")
+    p, r = unused(df.columns, "before", "place")
+    return df.withColumn(p, F.lag(value).over(w)).withColumn(r, F.row_number().over(w)) \
+        .filter((F.col(r) == 1) | ~F.col(value).eqNullSafe(F.col(p))).drop(p, r)

@@ -37,14 +37,29 @@ def read_ledger(spark, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def recover_table(spark, path: str) -> None:
+    """After a swap that did not end: the old table is put back if there is none, else deleted."""
+    p = lambda x: spark._jvm.org.apache.hadoop.fs.Path(x)
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p(f"{path}.old")):
+        if fs.exists(p(path)):
+            fs.delete(p(f"{path}.old"), True)
+        else:
+            fs.rename(p(f"{path}.old"), p(path))
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Writes beside the table, then swaps: readers see the old or the new one."""
+    """Writes beside the table, then swaps by two renames; for a moment between them there is no table.
+
+    A run that stopped there is mended by the next one (or by ``recover_table``): the old table comes back first. The new
+    table is complete before the old one moves, and the old one is deleted last.
+    """
+    recover_table(df.sparkSession, path)
     jvm = df.sparkSession.sparkContext._jvm
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
     p = lambda x: jvm.org.apache.hadoop.fs.Path(x)
     df.write.mode("overwrite").parquet(f"{path}.new")
-    fs.delete(p(f"{path}.old"), True)
     if fs.exists(p(path)):
         fs.rename(p(path), p(f"{path}.old"))
     fs.rename(p(f"{path}.new"), p(path))
