@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.operators.names import unused  # noqa: F401
 from factloom.session import shared_dir, ship, written  # noqa: F401
 
 #: odd multipliers of the vectorised hashes
@@ -35,16 +36,6 @@ def trim() -> None:
         pass
 
 
-def unused(columns: list[str], *names: str) -> list[str]:
-    """Names for helper columns that no column of ``columns`` has."""
-    taken, out = {c.lower() for c in columns}, []
-    for n in names:
-        while n in taken:
-            n += "_"
-        out.append(n)
-    return out
-
-
 def if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast only if the counted ``rows`` are within ``limit``; otherwise the join shuffles."""
     return F.broadcast(df) if rows <= limit else df
