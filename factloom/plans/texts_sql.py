@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import difflib
+
 from factloom.plans.facts import EV, FACTS_SQL
 from factloom.plans.texts import ALIASES, KINDS, LABEL_RULES, PART_RULES, PHRASES, REGISTRY
 
@@ -24,11 +26,23 @@ pairs as (select x.doc_id as a, y.doc_id as b, count(*) / least(any_value(x.n),
 CLUSTERS = PAIRS.replace("sk as", "recursive sk as", 1) + """, e as (select a, b from pairs union all select b, a from pairs),
 cc as (select doc_id as node, doc_id as root from documents union select e.b, cc.root from cc join e on e.a = cc.node where cc.root < e.b),
 roots as (select node as doc_id, min(root) as root from cc group by 1)"""
+#: the market segments, the closed list of the fuzzy match's names
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def closest(segment: str) -> str:
+    """SQL literal of the code of the alias nearest to the misspelt segment, from a ratio of 0.88 on."""
+    name = f"{segment[:3]}r{segment[3:]}".lower()
+    ratio, code = max((difflib.SequenceMatcher(None, alias, name).ratio(), code) for alias, code in ALIASES)
+    return f"'{code}'" if ratio >= 0.88 else "null"
+
+
 HOST = "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1))"
 #: fixed words of the greedy phrase match, longest first: each space is doubled so that neighbours do not share one
 GREEDY = "|".join(p.replace(" ", "  ") for p in sorted(PHRASES, key=lambda p: (-len(p.split()), p)))
 
 ORACLES = {
+    "fuzzy_canonical": "select c_custkey, c_mktsegment[1:3] || 'r' || c_mktsegment[4:] as name, case c_mktsegment " + " ".join(f"when '{x}' then {closest(x)}" for x in SEGMENTS) + " end as code from customer",
     "first_match_rules": f"select p_partkey, {case('upper(p_type)', PART_RULES)} else 'other' end as rule from part",
     "leaf_first_rules": f"""with {LABELS}, seg as (select c_custkey, label, unnest(list_reverse(string_split(label, ' | '))) as s, generate_subscripts(string_split(label, ' | '), 1) as i from lab),
 m as (select c_custkey, {case('s', LABEL_RULES)} end as k, s, i from seg), g as (select c_custkey, arg_min(k, i) filter (k is not null) as k, bool_or(s = 'Total') as total from m group by 1)
