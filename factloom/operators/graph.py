@@ -11,9 +11,10 @@ from factloom.session import discard, written
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node.
 
-    Each round maps every node to its least neighbour's least neighbour (twice over, so that long chains shrink
-    geometrically) and contracts the edges by that map: components that are done have no edge left and take no part in
-    later rounds. The maps, ever smaller, are joined one after the other in the end. Rounds are written to the shared
+    Each round hangs every node on its least neighbour, doubles these pointers until they end at roots (a chain of n nodes
+    takes log n steps), and contracts the edges by them: every tree has at least two nodes, so the graph shrinks by half or
+    more, and components that are done have no edge left and take no part in later rounds. The maps, ever smaller, are
+    joined one after the other in the end. Rounds are written to the shared
     folder and the edges of a round are deleted once they are contracted; if edges are left after ``max_rounds``, that
     is an error, never a truncated answer. Edges with a null end are ignored.
     """
@@ -23,10 +24,13 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         to = written(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("to")), "hooks")
-        further = to.select(F.col("node").alias("to"), F.col("to").alias("further"))
-        for _ in range(2):  # the map's own image, then that one's
-            to = to.join(further, "to").select("node", F.col("further").alias("to"))
-        to = written(to, "hooks")
+        for _ in range(max_rounds):
+            further = to.select(F.col("node").alias("to"), F.col("to").alias("further"))
+            jumped = written(to.join(further, "to").select("node", F.col("further").alias("to"), (F.col("further") != F.col("to")).alias("moved")), "hooks")
+            discard(to)
+            to = jumped.drop("moved")
+            if jumped.filter("moved").isEmpty():
+                break
         total = to if total is None else _composed(total, to)
         ends = to.select(F.col("node").alias("src"), F.col("to").alias("s")), to.select(F.col("node").alias("dst"), F.col("to").alias("d"))
         rest = e.join(ends[0], "src").join(ends[1], "dst").filter("s <> d").select(F.greatest("s", "d").alias("src"), F.least("s", "d").alias("dst")).distinct()
