@@ -35,6 +35,8 @@ LENGTH, KMER, HOT = 100, 32, 5000
 PIECE = 1 << 19
 #: suffixes of a task that make one sorted run
 RUN = 200_000
+#: bytes of text for each part of the anchor space: groups stay of this size as the corpus grows
+PART = 8 << 20
 #: stands for a null id, after all others (and is taken for one)
 NULL_ID = (1 << 63) - 1
 
@@ -196,6 +198,11 @@ class _Spans:
         return pa.array([k[0] for k in self.by], pa.int64()), pa.array([k[1] for k in self.by], pa.int64()), pa.array(list(self.by.values()), pa.list_(pa.int32()))
 
 
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` (part, ...) over as many tasks as there are parts, where the session's setting would make fewer."""
+    return rows.repartition(parts, "part") if parts > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def repeated_anchors(t: DataFrame, parts: int, length: int, hot: int) -> DataFrame:
     """(d, at): positions of a document's anchors that occur again somewhere; those of hot anchors as -1 - position."""
     def hashes(batches):
@@ -237,7 +244,7 @@ def repeated_anchors(t: DataFrame, parts: int, length: int, hot: int) -> DataFra
         return pa.table({"d": d[[a for a, _ in ends]] if ends else d, "at": pa.array([at[a:b] for a, b in ends], pa.list_(pa.int32()))})
 
     blobs = t.select("d", "text").mapInArrow(hashes, "part int, h binary, d binary, p binary")
-    return blobs.groupBy("part").applyInArrow(again, "d long, at array<int>").groupBy("d").agg(F.flatten(F.collect_list("at")).alias("at"))
+    return _dealt(blobs, parts).groupBy("part").applyInArrow(again, "d long, at array<int>").groupBy("d").agg(F.flatten(F.collect_list("at")).alias("at"))
 
 
 def suffix_runs(t: DataFrame, parts: int, length: int) -> DataFrame:
@@ -314,7 +321,7 @@ def suffix_runs(t: DataFrame, parts: int, length: int) -> DataFrame:
     return t.mapInArrow(make, schema)
 
 
-def merged_spans(runs: DataFrame, length: int, k: int = KMER) -> DataFrame:
+def merged_spans(runs: DataFrame, parts: int, length: int, k: int = KMER) -> DataFrame:
     """(d, th, spans): those that the tasks found, and those that equal suffixes and windows of different tasks remove."""
     def work(key, tab):
         spans = _Spans()
@@ -339,7 +346,7 @@ def merged_spans(runs: DataFrame, length: int, k: int = KMER) -> DataFrame:
             _resolve(group, spans, length)
         return pa.concat_tables([found, pa.table(dict(zip(("d", "th", "spans"), spans.columns(), strict=True)))], promote_options="permissive")
 
-    return runs.groupBy("part").applyInArrow(work, "d long, th long, spans array<int>")
+    return _dealt(runs, parts).groupBy("part").applyInArrow(work, "d long, th long, spans array<int>")
 
 
 def _resolve(group: dict, spans: _Spans, length: int) -> None:
@@ -371,14 +378,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Earlier means: smaller id (null after all others); rows that share an id count in the order of their text's
     hash, and rows that repeat id and text are one document, each given its result. Null texts are empty. ``length``
-    must be over KMER. Extra columns are ignored.
+    must be over KMER. Extra columns are ignored. ``parts``: groups of anchors that are sorted and merged as one, by
+    default one for each ``PART`` bytes of text, at least 64 and as many as the session's shuffle partitions.
     """
     ship(docs.sparkSession)
-    parts = parts or max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+        parts = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART)
     t = docs.select(*_where(id_col, text_col))
     cand = repeated_anchors(t, parts, length, hot)
     # both joins need the texts by d with the same columns: their exchange is made once and used again
-    spans = merged_spans(suffix_runs(t.join(cand, "d"), parts, length), length)
+    spans = merged_spans(suffix_runs(t.join(cand, "d"), parts, length), parts, length)
     spans = spans.groupBy("d").agg(F.collect_list(F.struct("th", "spans")).alias("spans"))
 
     def cut(batches):

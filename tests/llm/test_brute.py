@@ -64,6 +64,15 @@ def test_suffix_dedup(docs, hot):
     assert got == removed(rows)
 
 
+def test_suffix_dedup_makes_more_parts_of_more_text(docs, monkeypatch):
+    made, dealt = set(), suffix_dedup._dealt
+    monkeypatch.setattr(suffix_dedup, "PART", 200)
+    monkeypatch.setattr(suffix_dedup, "_dealt", lambda rows, parts: made.add(parts) or dealt(rows, parts))
+    rows = corpus(1, 60)
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.suffix_dedup(docs(rows)).collect()}
+    assert got == removed(rows) and made == {sum(len((t or "").encode()) for _, t in rows) // 200} and min(made) > 64
+
+
 def test_suffix_dedup_odd_tables(spark, docs):
     assert suffix_dedup.suffix_dedup(docs([])).collect() == []
     t = "abc " * 60
