@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.text import normal_name
+from factloom.operators.names import unused
 from factloom.operators.reconcile import distinct_apply
 from factloom.session import ship
 
 
 def canonical(df: DataFrame, col: str, lookup: DataFrame, name: str = "code") -> DataFrame:
     """Exact look-up of the normalised name in (alias, code); unknown names stay null."""
-    names = lookup.select(normal_name(F.col("alias")).alias("_n"), F.col("code").alias(name)).groupBy("_n").agg(F.min(name).alias(name))
-    return df.withColumn("_n", normal_name(F.col(col))).join(names, "_n", "left").drop("_n")
+    n, = unused(df.columns, "_n")
+    names = lookup.select(normal_name(F.col("alias")).alias(n), F.col("code").alias(name)).groupBy(n).agg(F.min(name).alias(name))
+    return df.withColumn(n, normal_name(F.col(col))).join(names, n, "left").drop(n)
 
 
 def fuzzy(df: DataFrame, col: str, lookup: list[tuple[str, str]], cutoff: float = 0.88, name: str = "code") -> DataFrame:
@@ -33,18 +35,21 @@ def fuzzy(df: DataFrame, col: str, lookup: list[tuple[str, str]], cutoff: float
         for s in batches:
             yield s.map(lambda x: None if x is None else codes.get(x) or next((codes[m] for m in difflib.get_close_matches(x, list(codes), 1, cutoff)), None))
 
-    return distinct_apply(df.withColumn("_n", normal_name(F.col(col))), "_n", lambda d: d.withColumn(name, closest("_n"))).drop("_n")
+    n, = unused(df.columns, "_n")
+    return distinct_apply(df.withColumn(n, normal_name(F.col(col))), n, lambda d: d.withColumn(name, closest(n))).drop(n)
 
 
 def phrases(words: Column, vocabulary: list[str], longest: int = 4) -> Column:
-    """Phrases of a closed list found in an array of words: left to right, the longest first, not overlapping."""
-    known = F.array(*[F.lit(v) for v in vocabulary])
+    """Phrases of a closed list found in an array of words: left to right, the longest first, not overlapping.
+
+    A phrase is looked up by ``isin``, which the optimiser turns into a hash set for all but the shortest lists.
+    """
     gram = lambda i, n: F.array_join(F.slice(words, i + 1, n), " ")
 
     def step(acc, i):
         hit, size = F.lit(None).cast("string"), F.lit(0)
         for n in range(1, longest + 1):
-            ok = (i + n <= F.size(words)) & F.array_contains(known, gram(i, n))
+            ok = (i + n <= F.size(words)) & gram(i, n).isin(vocabulary)
             hit, size = F.when(ok, gram(i, n)).otherwise(hit), F.when(ok, n).otherwise(size)
         return F.when(i < acc["skip"], acc).otherwise(F.struct((i + F.greatest(size, F.lit(1))).alias("skip"), F.when(hit.isNull(), acc["found"]).otherwise(F.array_append(acc["found"], hit)).alias("found")))
 
@@ -102,7 +107,8 @@ def merge_gazetteer(entries: DataFrame) -> DataFrame:
 def range_join(points: DataFrame, point: str, ranges: DataFrame, low: str, high: str, width: int, keys: list[str] | None = None) -> DataFrame:
     """Points with the ranges (bounds included) that contain them, left join: both sides meet in buckets of ``width``."""
     keys = keys or []
-    r = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
-    p = points.withColumn("_b", F.floor(F.col(point) / width))
-    on = [p[k].eqNullSafe(r[k]) for k in keys] + [p["_b"] == r["_b"], p[point].between(r[low], r[high])]
-    return p.join(r, on, "left").drop(r["_b"], *[r[k] for k in keys]).drop("_b")
+    b, = unused([*points.columns, *ranges.columns], "_b")
+    r = ranges.withColumn(b, F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
+    p = points.withColumn(b, F.floor(F.col(point) / width))
+    on = [p[k].eqNullSafe(r[k]) for k in keys] + [p[b] == r[b], p[point].between(r[low], r[high])]
+    return p.join(r, on, "left").drop(r[b], *[r[k] for k in keys]).drop(b)

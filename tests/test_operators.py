@@ -191,3 +191,20 @@ def test_ledger_gains_columns_and_tables_swap(spark, tmp_path):
     for v in (1, 2):
         store.replace_table(spark.createDataFrame([(v,)], "a int"), q)
     assert [r["a"] for r in spark.read.parquet(q).collect()] == [2]
+
+
+def test_resolving_keeps_columns_of_helpers_names(spark):
+    df = spark.createDataFrame([("North Shore", 7, 12)], "name string, _n int, _b int")
+    look = spark.createDataFrame([("north shore", "N")], "alias string, code string")
+    assert resolve.canonical(df, "name", look).collect() == [("North Shore", 7, 12, "N")]
+    assert resolve.fuzzy(df, "name", [("north shore", "N")]).select("name", "_n", "_b", "code").collect() == [("North Shore", 7, 12, "N")]
+    ranges = spark.createDataFrame([(10, 19, "ten")], "low int, high int, label string")
+    assert [r["label"] for r in resolve.range_join(df, "_b", ranges, "low", "high", 5).select("_n", "_b", "label").collect()] == ["ten"]
+
+
+def test_phrases_of_a_long_list(spark):
+    words = spark.createDataFrame([(["in", "the", "old", "town", "hall", "of", "x"],), ([],), (None,)], "w array<string>")
+    known = ["old town", "old town hall", "town", *[f"name {i}" for i in range(40)]]
+    got = words.select(resolve.phrases(F.col("w"), known).alias("p"))
+    assert [r["p"] for r in got.collect()] == [["old town hall"], [], []]
+    assert "INSET" in got._jdf.queryExecution().optimizedPlan().toString()
