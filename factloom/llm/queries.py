@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from factloom.llm import language, packing, toxicity
 from factloom.llm.common import crc32_mod, table
 from factloom.llm.decontaminate import contaminated
+from factloom.llm.divergence import divergence
 from factloom.llm.exact_dedup import exact_dedup
 from factloom.llm.ngram_join import jaccard_components
 from factloom.llm.suffix_dedup import suffix_dedup
@@ -73,7 +74,12 @@ def op10_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join)}
+def op13_source_divergence(spark, sf_dir):
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join,
+                                   op13_source_divergence)}
 
 ORACLES = {
     # every window that begins at a shingle of an item of its size, compared with every item of that size
@@ -136,4 +142,20 @@ e as (select a, b from l union all select b, a from l),
 c as (select doc_id as node, doc_id as root from documents union select e.b, c.root from c join e on e.a = c.node where c.root < e.b),
 r as (select node, min(root) as root from c group by node)
 select s.doc_id, len(s) as n_shingles, root as component_id from s left join r on s.doc_id = r.node""",
+    "op13_source_divergence": r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+t as (select lang, source, r, unnest(w) as term from d),
+k as (select lang, term, count(*) as all_n from t group by lang, term having count(distinct r) >= 3),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t group by all),
+m as (select g.lang, g.source, k.term, all_n, coalesce(c.n, 0) as n from g join k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+s as (select *, sum(n) over w as total, sum(all_n) over w as lang_total, count(*) over w as v from m window w as (partition by lang, source)),
+p as (select lang, source, term, n, (1 + 1000000000::hugeint * (n + 1) // (total + v))::bigint as p, (1 + 1000000000::hugeint * (all_n + 1) // (lang_total + v))::bigint as q from s),
+f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+o as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value from g a join g b on a.lang = b.lang and a.source <> b.source
+      left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+      union all select lang, source, 'term', term, (p - q) * (p - q) // q from p where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from o)
+select * from r where part = 'pair' or rank <= 200""",
 }
