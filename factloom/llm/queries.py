@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.llm import language, packing, toxicity
+from factloom.llm.collocations import collocations
 from factloom.llm.common import crc32_mod, table
 from factloom.llm.decontaminate import contaminated
 from factloom.llm.divergence import divergence
@@ -74,12 +75,16 @@ def op10_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark, sf_dir):
     return divergence(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join,
-                                   op13_source_divergence)}
+                                   op12_collocations, op13_source_divergence)}
 
 ORACLES = {
     # every window that begins at a shingle of an item of its size, compared with every item of that size
@@ -142,6 +147,21 @@ e as (select a, b from l union all select b, a from l),
 c as (select doc_id as node, doc_id as root from documents union select e.b, c.root from c join e on e.a = c.node where c.root < e.b),
 r as (select node, min(root) as root from c group by node)
 select s.doc_id, len(s) as n_shingles, root as component_id from s left join r on s.doc_id = r.node""",
+    "op12_collocations": r"""
+with d as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from d),
+t as (select lang, sum(len(w))::bigint as n from p group by lang),
+g as (select lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) as phrase from p, (select unnest(range(1, 5)) as size) where len(w) >= size),
+f as (select lang, phrase, size, count(*) as a from g group by all having count(*) >= 30),
+c as (select *, string_split(phrase, ' ') as w, unnest(range(1, size)) as k from f where size > 1),
+s as (select c.lang, c.phrase, c.a, k, l.a as l, r.a as r, ((2000000::hugeint * c.a) // (l.a + r.a))::bigint as score
+      from c join f l on l.lang = c.lang and l.phrase = array_to_string(w[:k], ' ') join f r on r.lang = c.lang and r.phrase = array_to_string(w[k + 1 :], ' ')),
+b as (select *, row_number() over (partition by lang, phrase order by score, k) as o from s),
+x as (select *, string_split(phrase, ' ') as w, unnest(range(2, size)) as m from f where size > 2),
+y as (select lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) as phrase from x),
+z as (select lang, phrase, max(a) as longer from y group by all),
+k as (select b.*, row_number() over (partition by b.lang order by score desc, b.a desc, encode(b.phrase)) as rank from b left join z on z.lang = b.lang and z.phrase = b.phrase where o = 1 and (longer is null or 100::hugeint * longer < 80::hugeint * b.a))
+select lang, rank, phrase, a, l, r, n, score from k join t using (lang) where rank <= 2000""",
     "op13_source_divergence": r"""
 with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
