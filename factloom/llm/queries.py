@@ -10,6 +10,7 @@ from factloom.llm.common import crc32_mod, table
 from factloom.llm.decontaminate import contaminated
 from factloom.llm.divergence import divergence
 from factloom.llm.exact_dedup import exact_dedup
+from factloom.llm.lm import lm_scores
 from factloom.llm.ngram_join import jaccard_components
 from factloom.llm.suffix_dedup import suffix_dedup
 from factloom.llm.token_file import read_tokens, write_tokens
@@ -75,6 +76,10 @@ def op10_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op11_lm_scores(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"), held_out=fold(5, 1))
+
+
 def op12_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -84,7 +89,7 @@ def op13_source_divergence(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_warc, op4_toxicity, op5_suffix_dedup, op6_url_filter, op7_token_ids, op8_packing, op9_exact_dedup, op10_ngram_join,
-                                   op12_collocations, op13_source_divergence)}
+                                   op11_lm_scores, op12_collocations, op13_source_divergence)}
 
 ORACLES = {
     # every window that begins at a shingle of an item of its size, compared with every item of that size
