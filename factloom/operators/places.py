@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.text import normal_name
@@ -35,6 +35,21 @@ def candidates(names: DataFrame, gazetteer: DataFrame, aliases: DataFrame, gener
     return whole.unionByName(agreed.select(whole.columns)).select("name", "state", "population", "kind")
 
 
+def gathered(found: DataFrame) -> DataFrame:
+    """(name, c, districts) of candidates (name, state, population, kind): c holds a name's states, the biggest first; a name has few."""
+    one = F.struct((-F.col("population")).alias("p"), F.col("state").alias("s"), "kind")
+    return found.groupBy("name").agg(F.array_sort(F.collect_list(one)).alias("c"), F.count(F.when(F.col("kind") == "district", 1)).alias("districts"))
+
+
+def pick(strong: Column, metro: Column, veto: bool = True, factor: float = 3.0) -> Column:
+    """The state of a row with the columns of ``gathered``; ``strong`` is the state that the evidence names, if it is strong."""
+    first, second = F.get("c", F.lit(0)), F.get("c", F.lit(1))
+    one = F.when(strong.isNull() | F.lit(not veto) | (strong == first["s"]), first["s"])
+    big = F.when((metro | (F.col("districts") <= 1)) & (-first["p"] >= factor * F.greatest(-second["p"], F.lit(1))), first["s"])
+    several = F.when(F.exists("c", lambda x: x["s"] == strong), strong).otherwise(big)
+    return F.when(F.size("c") == 1, one).when(F.size("c") > 1, several)
+
+
 def state_of(names: DataFrame, found: DataFrame, votes: DataFrame, min_votes: int = 5, top_share: float = 0.8, factor: float = 3.0, veto: bool = True, successors: list[tuple[str, int, str]] | None = None) -> DataFrame:
     """One state for each row of ``names`` (name, year, metro).
 
@@ -44,15 +59,10 @@ def state_of(names: DataFrame, found: DataFrame, votes: DataFrame, min_votes: in
     names of two or more districts, whose size says nothing unless the row is of a table of metropolitan places.
     ``successors``: (state, first year, the state it was part of before).
     """
-    c = found.groupBy("name").agg(F.array_sort(F.collect_list(F.struct((-F.col("population")).alias("p"), F.col("state").alias("s")))).alias("c"), F.count(F.when(F.col("kind") == "district", 1)).alias("districts"))
     v = votes.groupBy("name").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("state").alias("s"))).alias("t"), F.sum("n").alias("votes"))
-    t = names.join(c, "name", "left").join(v, "name", "left")
-    t = t.withColumn("strong", F.when((F.col("votes") >= min_votes) & (-F.col("t.n") >= top_share * F.col("votes")), F.col("t.s")))
-    first, second = F.get("c", F.lit(0)), F.get("c", F.lit(1))
-    one = F.when(F.col("strong").isNull() | F.lit(not veto) | (F.col("strong") == first["s"]), first["s"])
-    big = F.when((F.coalesce("metro", F.lit(False)) | (F.col("districts") <= 1)) & (-first["p"] >= factor * F.greatest(-second["p"], F.lit(1))), first["s"])
-    several = F.when(F.exists("c", lambda x: x["s"] == F.col("strong")), F.col("strong")).otherwise(big)
-    state = F.when(F.size("c") == 1, one).when(F.size("c") > 1, several)
+    t = names.join(gathered(found), "name", "left").join(v, "name", "left")
+    strong = F.when((F.col("votes") >= min_votes) & (-F.col("t.n") >= top_share * F.col("votes")), F.col("t.s"))
+    state = pick(strong, F.coalesce("metro", F.lit(False)), veto, factor)
     for new, since, old in successors or []:
         state = F.when((state == new) & (F.col("year") < since), F.lit(old)).otherwise(state)
     return t.select(*names.columns, state.alias("state"))
