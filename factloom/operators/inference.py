@@ -10,6 +10,7 @@ from factloom.operators import mentions, places
 from factloom.operators.names import unused
 from factloom.operators.order import blocks_closed_by, run_id
 from factloom.operators.quality import block_check, null_safe
+from factloom.session import written
 
 SHEET, TABLE = ["file", "sheet"], ["file", "sheet", "table_title"]
 
@@ -96,20 +97,21 @@ def settle_blocks(facts: DataFrame, order: str, sequence: DataFrame, since: int,
     Neighbouring rows of one entity are one source row. A block takes the state of ``share`` of its placed source rows, if
     these are ``least`` or the block has a single row; blocks that no place tells apart are filled by elimination in
     tables of the years from ``since`` to before ``until``. Rows without a state, totals too, take their block's; inferred ones
-    give way to ``majority`` rows; printed ones stay. Rows outside of ``district_rows`` stay.
+    give way to ``majority`` rows; printed ones stay. Rows outside of ``district_rows`` stay. Rows, source rows and blocks
+    are written to the shared folder once, as each is read several times.
     """
     own, run, block, cols = *unused(facts.columns, "in_blocks", "run", "block"), facts.columns
-    d = run_id(district_rows(facts, own), [*TABLE, own], [order], "entity", run)
+    d = written(run_id(district_rows(facts, own), [*TABLE, own], [order], "entity", run), "block-rows")
     at = lambda c: F.min_by(c, order).alias(c)
     r = d.filter(own).groupBy(*TABLE, run).agg(F.max("parent_state_code").alias("code"), at("is_total"), at("state_inferred"), at("year"))
-    r = blocks_closed_by(r.withColumn("is_total", F.coalesce("is_total", F.lit(False))), TABLE, [run], F.col("is_total"), block)
+    r = written(blocks_closed_by(r.withColumn("is_total", F.coalesce("is_total", F.lit(False))), TABLE, [run], F.col("is_total"), block), "block-runs")
     b = r.groupBy(*TABLE, block).agg(F.count(F.when(~F.col("is_total"), 1)).alias("rows"), F.min_by("year", run).alias("year"))
     n = r.filter("not is_total and code is not null").groupBy(*TABLE, block, "code").agg(F.count(F.lit(1)).alias("n"))
     n = n.groupBy(*TABLE, block).agg(F.min(F.struct((-F.col("n")).alias("n"), "code")).alias("top"), F.sum("n").alias("placed"))
     won = -F.col("top.n")
     b = null_safe(b, n, [*TABLE, block])
     ok = (won >= share * F.col("placed")) & ((won >= least) | (F.col("rows") == 1))
-    b = b.select(*TABLE, block, "year", F.when(ok, F.col("top.code")).alias("block_code"), F.when(ok, won).otherwise(0).alias("block_rows"))
+    b = written(b.select(*TABLE, block, "year", F.when(ok, F.col("top.code")).alias("block_code"), F.when(ok, won).otherwise(0).alias("block_rows")), "blocks")
     b = by_elimination(b, TABLE, block, "block_code", sequence, (F.col("year") >= since) & (F.col("year") < until)).drop("year")
     r = null_safe(r, b, [*TABLE, block])
     gives = F.coalesce("state_inferred", F.lit(False)) & (F.col("block_rows") >= majority)
