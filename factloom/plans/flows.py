@@ -107,8 +107,8 @@ def documents_catalogue(spark, sf_dir):
 def year_rules(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("y"))
     k = F.col("o_orderkey") % 6
-    url = F.when(k == 0, F.concat(F.lit("http://h/d/Crimes%20in_"), "y", F.lit(".XLSX"))).when(k == 1, F.concat(F.lit("http://h/2001-12/t_"), "y", F.lit("-15.xls"))).when(k == 2, F.lit("http://h/TABLE%2011.6.xlsx")).when(k == 3, F.concat(F.lit("http://h/"), "y", F.lit("/t.pdf"))).otherwise(F.concat(F.lit("http://h/t-"), "y", F.lit("_x"), F.lit(".pdf")))
-    title = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("Persons in "), "y")).when(F.col("o_orderkey") % 4 == 1, F.lit("Years 2001 and 2002")).otherwise(F.lit("Persons"))
+    url = F.when(k == 0, F.concat(F.lit("http://h/d/Orders%20of_"), "y", F.lit(".XLSX"))).when(k == 1, F.concat(F.lit("http://h/1993-96/t_"), "y", F.lit("-15.xls"))).when(k == 2, F.lit("http://h/Lines%2019.4.xlsx")).when(k == 3, F.concat(F.lit("http://h/"), "y", F.lit("/t.pdf"))).otherwise(F.concat(F.lit("http://h/t-"), "y", F.lit("_x"), F.lit(".pdf")))
+    title = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("Persons in "), "y")).when(F.col("o_orderkey") % 4 == 1, F.lit("Years 1994 and 1995")).otherwise(F.lit("Persons"))
     sheet = F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("S "), (F.col("y").cast("int") + 41).cast("string"))).otherwise(F.lit("S 1"))
     x = text.publication_year(url, title, sheet)
     return o.select("o_orderkey", text.plausible_year(x["year"]).alias("year"), x["source"].alias("source"))

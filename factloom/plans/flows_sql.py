@@ -80,8 +80,8 @@ select file, lower(split_part(file, '.', -1)) as ext, publisher, source_url, '{A
   case when file[1] in ('1', '2') then 'facts' when n_facts > 0 then 'facts_low_confidence' when ends_with(file, '.xlsx') then 'no_tables_found' else 'not_parsed' end as status from g""",
     "year_rules": f"""
 with o as (select o_orderkey as k, year(o_orderdate)::varchar as y from orders),
-u as (select k, case k % 6 when 0 then 'http://h/d/Crimes in_' || y || '.XLSX' when 1 then 'http://h/2001-12/t_' || y || '-15.xls' when 2 then 'http://h/TABLE 11.6.xlsx' when 3 then 'http://h/' || y || '/t.pdf' else 'http://h/t-' || y || '_x.pdf' end as url,
-  case when k % 4 = 0 then 'Persons in ' || y when k % 4 = 1 then 'Years 2001 and 2002' else 'Persons' end as title, case when k % 10 = 0 then 'S ' || (y::int + 41) else 'S 1' end as sheet from o),
+u as (select k, case k % 6 when 0 then 'http://h/d/Orders of_' || y || '.XLSX' when 1 then 'http://h/1993-96/t_' || y || '-15.xls' when 2 then 'http://h/Lines 19.4.xlsx' when 3 then 'http://h/' || y || '/t.pdf' else 'http://h/t-' || y || '_x.pdf' end as url,
+  case when k % 4 = 0 then 'Persons in ' || y when k % 4 = 1 then 'Years 1994 and 1995' else 'Persons' end as title, case when k % 10 = 0 then 'S ' || (y::int + 41) else 'S 1' end as sheet from o),
 w as (select k, case when regexp_matches(lower(url), '\\.xlsx?$') then regexp_replace(regexp_extract(url, '[^/]*$'), '(19|20)[0-9][0-9] *[-_] *((19|20)?[0-9][0-9])', ' ', 'g') else '' end as name, url, title, sheet from u),
 x as (select k, {ONE.format('name', 'name')} as a, {ONE.format('sheet', 'sheet')} as b, {ONE.format('title', 'title')} as c, {ONE.format('url', 'url')} as d from w),
 z as (select k, coalesce(a, b, c, d) as year, case when a is not null then 'path' when b is not null then 'sheet' when c is not null then 'title' when d is not null then 'path' end as source from x)

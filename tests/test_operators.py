@@ -41,9 +41,9 @@ def test_links_resolve(spark):
 
 
 def test_leaf_first(spark):
-    rules = [("murder", "(?i)murder"), ("theft", "(?i)theft")]
+    rules = [("sent", "(?i)sent"), ("kept", "(?i)kept")]
     fn = lambda c: classify.leaf_first(c, rules, "^Total$")
-    for raw, want in (("Theft | Murder", "murder"), ("Murder | Total", "murder"), ("Total", "total"), ("x", "other"), ("", None), (None, None)):
+    for raw, want in (("Kept | Sent", "sent"), ("Sent | Total", "sent"), ("Total", "total"), ("x", "other"), ("", None), (None, None)):
         assert one(spark, raw, fn) == want
 
 
@@ -102,8 +102,8 @@ def test_places(spark):
 
 
 def test_fuzzy(spark):
-    df = spark.createDataFrame([("Keralla",), ("KERALA",), ("Total",), (None,)], "n string")
-    assert [r["code"] for r in resolve.fuzzy(df, "n", [("kerala", "KL"), ("assam", "AS")]).orderBy(F.col("n")).collect()] == [None, "KL", "KL", None]
+    df = spark.createDataFrame([("Northlland",), ("NORTHLAND",), ("Total",), (None,)], "n string")
+    assert [r["code"] for r in resolve.fuzzy(df, "n", [("northland", "NL"), ("islet", "IS")]).orderBy(F.col("n")).collect()] == [None, "NL", "NL", None]
 
 
 def test_components_of_a_long_chain(spark):
@@ -139,12 +139,12 @@ def test_named_sheets(spark):
 
 
 def test_sheet_facts(spark):
-    sheet = [["Crimes by state, 2019"], ["State", "Murder", None, "Theft"], [None, 2018, 2019, 2019], ["(1)", "(2)", "(3)", "(4)"], ["Zone: North"], ["Kerala", 1, 2, 3], ["Total", 1, 2, 3], ["Goa", 4, 5, 6]]
+    sheet = [["Orders by land, 2019"], ["State", "Sent", None, "Kept"], [None, 2018, 2019, 2019], ["(1)", "(2)", "(3)", "(4)"], ["Zone: North"], ["Northland", 1, 2, 3], ["Total", 1, 2, 3], ["Isle", 4, 5, 6]]
     rows = [("f", "s", r, c, v if isinstance(v, str) else None, float(v) if isinstance(v, int) else None) for r, row in enumerate(sheet) for c, v in enumerate(row) if v is not None]
     got = grid.sheet_facts(spark.createDataFrame(rows, "file string, sheet string, r int, c int, v_str string, v_num double")).collect()
     facts = {(r["entity"], r["label"]): (r["value"], r["context"], r["is_total"]) for r in got}
-    assert facts["Kerala", "Murder | 2018"] == (1.0, "North", False) and facts["Kerala", "Murder | 2019"][0] == 2.0 and facts["Total", "Theft | 2019"] == (3.0, "North", True)
-    assert facts["Goa", "Theft | 2019"] == (6.0, None, False) and got[0]["title"] == "Crimes by state, 2019"
+    assert facts["Northland", "Sent | 2018"] == (1.0, "North", False) and facts["Northland", "Sent | 2019"][0] == 2.0 and facts["Total", "Kept | 2019"] == (3.0, "North", True)
+    assert facts["Isle", "Kept | 2019"] == (6.0, None, False) and got[0]["title"] == "Orders by land, 2019"
 
 
 def workbook():
@@ -208,3 +208,15 @@ def test_phrases_of_a_long_list(spark):
     got = words.select(resolve.phrases(F.col("w"), known).alias("p"))
     assert [r["p"] for r in got.collect()] == [["old town hall"], [], []]
     assert "INSET" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_years_outside_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from factloom.functions import text
+
+    cases = [("t 1994.xls", ["1994"]), ("t 1994-97 x 1999", ["1999"]), ("a1993_1996b2001", ["2001"]), ("1993 - 94-1998", ["1998"]), ("1994-971", ["1994", "971"]), ("1894-97 12", ["1894", "97", "12"]), ("no", []), ("", []), ("1995-x-96", ["1995", "96"])]
+    df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, c string")
+    assert [r["x"] for r in df.select("i", text.runs_outside_ranges(F.col("c")).alias("x")).orderBy("i").collect()] == [w for _, w in cases]
+    got = df.select("i", text.years(F.concat("c", F.lit(" 1949 1950 2039 2040 12000"))).alias("y")).orderBy("i").collect()
+    assert got[0]["y"] == ["1994", "1950", "2039"] and got[6]["y"] == ["1950", "2039"]
