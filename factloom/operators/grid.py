@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators.names import unused
 from factloom.session import ship
 
 ENTITY = r"(?i)^\s*(state|district|city|region|country|nation|crime head|head|name)\b"
@@ -18,17 +19,22 @@ SERIAL = r"(?i)^\s*(s\.?\s*no\.?|sl\.?\s*no\.?|serial|no\.)\s*$"
 def named_sheets_only(sheets: DataFrame) -> DataFrame:
     """(file, sheet): default-named tabs go if the file has a named one."""
     named = ~F.col("sheet").rlike("^Sheet[0-9]+$")
-    w = Window.partitionBy("file")
-    return sheets.withColumn("_n", named).withColumn("_any", F.max("_n").over(w)).filter(F.col("_n") | ~F.col("_any")).drop("_n", "_any")
+    n, some = unused(sheets.columns, "named", "some_named")
+    return sheets.withColumn(n, named).withColumn(some, F.max(n).over(Window.partitionBy("file"))).filter(F.col(n) | ~F.col(some)).drop(n, some)
 
 
 def fill_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
-    """Text of a merged range's first cell, copied to all its cells; figures are not copied."""
-    anchor = cells.select("file", "sheet", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("v_str").alias("_a")).filter("_a is not null")
-    spread = merges.join(anchor, ["file", "sheet", "r0", "c0"]).withColumn("r", F.explode(F.sequence("r0", "r1"))).withColumn("c", F.explode(F.sequence("c0", "c1"))) \
-        .groupBy("file", "sheet", "r", "c").agg(F.min("_a").alias("_a"))
-    out = cells.join(spread, ["file", "sheet", "r", "c"], "full")
-    return out.select("file", "sheet", "r", "c", F.when(F.col("v_num").isNull(), F.coalesce("v_str", "_a")).otherwise(F.col("v_str")).alias("v_str"), "v_num")
+    """Text of a merged range's first cell, copied to all its cells; figures are not copied.
+
+    Ranges are clipped to the rows and columns that the sheet uses, so that one over a whole sheet costs no more than these.
+    """
+    used = cells.groupBy("file", "sheet").agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
+    anchor = cells.select("file", "sheet", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("v_str").alias("anchor")).filter("anchor is not null")
+    spread = merges.select("file", "sheet", "r0", "r1", "c0", "c1").join(anchor, ["file", "sheet", "r0", "c0"]).join(used, ["file", "sheet"]) \
+        .withColumn("r", F.explode(F.sequence("r0", F.least("r1", "last_r")))).withColumn("c", F.explode(F.sequence("c0", F.least("c1", "last_c")))) \
+        .groupBy("file", "sheet", "r", "c").agg(F.min("anchor").alias("anchor"))
+    out = cells.select("file", "sheet", "r", "c", "v_str", "v_num").join(spread, ["file", "sheet", "r", "c"], "full")
+    return out.select("file", "sheet", "r", "c", F.when(F.col("v_num").isNull(), F.coalesce("v_str", "anchor")).otherwise(F.col("v_str")).alias("v_str"), "v_num")
 
 
 def without_empty_lines(cells: DataFrame) -> DataFrame:
@@ -111,9 +117,10 @@ def text_rows(pages: DataFrame, col: str, keys: list[str]) -> DataFrame:
     figures = r"((?:\s+(?:-{1,2}|NA|[0-9][0-9,]*(?:\.[0-9]+)?))+)\s*$"
     t = line.select(*keys, "line", F.regexp_extract("t", r"^\s*([0-9]{1,3})[.)]?\s+[A-Za-z]", 1).alias("serial"), F.trim(F.regexp_extract("t", r"^\s*(?:[0-9]{1,3}[.)]?\s+)?([A-Za-z][A-Za-z &().'-]*?)" + figures, 1)).alias("name"),
                     F.split(F.trim(F.regexp_extract("t", r"[A-Za-z)]" + figures, 1)), r"\s+").alias("figures"))
-    t = t.filter((F.col("name") != "") & (F.size("figures") > 0)).withColumn("_k", F.size("figures"))
-    usual = t.groupBy(*keys).agg(F.mode("_k", True).alias("_k"))
-    return t.join(usual, [*keys, "_k"]).drop("_k").withColumn("serial", F.when(F.col("serial") != "", F.col("serial").cast("int")))
+    k, = unused(t.columns, "figures_in_line")
+    t = t.filter((F.col("name") != "") & (F.size("figures") > 0)).withColumn(k, F.size("figures"))
+    usual = t.groupBy(*keys).agg(F.mode(k, True).alias(k))
+    return t.join(usual, [*keys, k]).drop(k).withColumn("serial", F.when(F.col("serial") != "", F.col("serial").cast("int")))
 
 
 def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -49,18 +49,19 @@ def elimination_fill(df: DataFrame, keys: list[str], order: list[str], code: str
     neighbour is the list's end.
     """
     w = _w(keys, order)
+    a, z, n, k, f, m = unused([*df.columns, *codes.columns, name], "before", "behind", "unknown", "place", "free", "fitting")
     back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    df = df.withColumn("_a", F.coalesce(F.last(code, ignorenulls=True).over(back), F.lit(-1))).withColumn("_z", F.coalesce(F.first(code, ignorenulls=True).over(ahead), F.lit(2**31 - 1)))
-    gap = Window.partitionBy(*keys, "_a", "_z", F.col(code).isNull())
-    df = df.withColumn("_n", F.count(F.lit(1)).over(gap)).withColumn("_k", F.row_number().over(gap.orderBy(*order)))
+    df = df.withColumn(a, F.coalesce(F.last(code, ignorenulls=True).over(back), F.lit(-1))).withColumn(z, F.coalesce(F.first(code, ignorenulls=True).over(ahead), F.lit(2**31 - 1)))
+    gap = Window.partitionBy(*keys, a, z, F.col(code).isNull())
+    df = df.withColumn(n, F.count(F.lit(1)).over(gap)).withColumn(k, F.row_number().over(gap.orderBy(*order)))
     used = df.filter(F.col(code).isNotNull()).select(*keys, code).distinct()
-    free = codes.join(used, [*keys, code], "left_anti").withColumnRenamed(code, "_free")
-    gaps = df.filter(F.col(code).isNull()).select(*keys, "_a", "_z", "_n").distinct()
-    fit = gaps.join(free, keys).filter((F.col("_free") > F.col("_a")) & (F.col("_free") < F.col("_z")))
-    g = Window.partitionBy(*keys, "_a", "_z")
-    fit = fit.withColumn("_m", F.count(F.lit(1)).over(g)).filter(F.col("_m") == F.col("_n")).withColumn("_k", F.row_number().over(g.orderBy("_free"))).select(*keys, "_a", "_z", "_k", "_free")
-    out = df.join(fit, [*keys, "_a", "_z", "_k"], "left")
-    return out.withColumn(name, F.coalesce(F.col(code), F.col("_free"))).drop("_a", "_z", "_n", "_k", "_free")
+    free = codes.select(*keys, code).join(used, [*keys, code], "left_anti").withColumnRenamed(code, f)
+    gaps = df.filter(F.col(code).isNull()).select(*keys, a, z, n).distinct()
+    fit = gaps.join(free, keys).filter((F.col(f) > F.col(a)) & (F.col(f) < F.col(z)))
+    g = Window.partitionBy(*keys, a, z)
+    fit = fit.withColumn(m, F.count(F.lit(1)).over(g)).filter(F.col(m) == F.col(n)).withColumn(k, F.row_number().over(g.orderBy(f))).select(*keys, a, z, k, f)
+    out = df.join(fit, [*keys, a, z, k], "left")
+    return out.withColumn(name, F.coalesce(F.col(code), F.col(f))).drop(a, z, n, k, f)
 
 
 def adjacent_distinct(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.operators.names import unused
 from factloom.operators.order import blocks_closed_by
 from factloom.operators.quality import null_safe
 
@@ -16,15 +17,16 @@ def label_blocks(df: DataFrame, keys: list[str], order: list[str], code: str, to
     rows of them or the block has a single row), ``placed`` and ``changed``. Rows without a code, totals too, take the
     block's; an inferred code that differs gives way to a majority of ``majority`` rows; a printed code stays.
     """
-    b = blocks_closed_by(df.withColumn("is_total_row", F.coalesce(total, F.lit(False))), keys, order, F.col("is_total_row"), "block")
-    n = b.filter(~F.col("is_total_row")).groupBy(*keys, "block", code).agg(F.count(F.lit(1)).alias("n"))
-    g = n.groupBy(*keys, "block").agg(F.min(F.when(F.col(code).isNotNull(), F.struct((-F.col("n")).alias("n"), F.col(code).alias("v")))).alias("top"), F.sum(F.when(F.col(code).isNotNull(), F.col("n"))).alias("placed_rows"), F.sum("n").alias("rows"))
+    is_total, rows = unused([*df.columns, "block", "block_code", "placed", "changed"], "is_total_row", "block_rows")
+    b = blocks_closed_by(df.withColumn(is_total, F.coalesce(total, F.lit(False))), keys, order, F.col(is_total), "block")
+    n = b.filter(~F.col(is_total)).groupBy(*keys, "block", F.col(code).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    g = n.groupBy(*keys, "block").agg(F.min(F.when(F.col("code").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("code").alias("v")))).alias("top"), F.sum(F.when(F.col("code").isNotNull(), F.col("n"))).alias("placed_rows"), F.sum("n").alias("rows"))
     won = -F.col("top.n")
     ok = (won >= share * F.col("placed_rows")) & ((won >= least) | (F.col("rows") == 1))
-    g = g.select(*keys, "block", F.when(ok, F.col("top.v")).alias("block_code"), F.when(ok, won).alias("block_rows"))
+    g = g.select(*keys, "block", F.when(ok, F.col("top.v")).alias("block_code"), F.when(ok, won).alias(rows))
     out = null_safe(b, g, [*keys, "block"])
-    takes = F.col("block_code").isNotNull() & (F.col(code).isNull() | (F.coalesce(inferred, F.lit(False)) & (F.col(code) != F.col("block_code")) & (F.col("block_rows") >= majority)))
-    return out.withColumn("placed", F.when(takes, F.col("block_code")).otherwise(F.col(code))).withColumn("changed", takes).drop("is_total_row", "block_rows")
+    takes = F.col("block_code").isNotNull() & (F.col(code).isNull() | (F.coalesce(inferred, F.lit(False)) & (F.col(code) != F.col("block_code")) & (F.col(rows) >= majority)))
+    return out.withColumn("placed", F.when(takes, F.col("block_code")).otherwise(F.col(code))).withColumn("changed", takes).drop(is_total, rows)
 
 
 def redundancy(df: DataFrame, keys: list[str], value: str, trusted: Column, prefer: list) -> DataFrame:

@@ -45,3 +45,33 @@ def tumbling(events: DataFrame, width: str, keys: list[str], late: str = "1 day"
 def sessions(events: DataFrame, gap: str, keys: list[str], late: str = "1 day") -> DataFrame:
     g = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), *keys).agg(F.count(F.lit(1)).alias("n"))
     return run_now(g.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n"), "complete")
+
+
+def _continued(stream: DataFrame, out: str, state: str) -> None:
+    """Takes what is available now into ``out`` in append mode and goes on where the checkpoint ``state`` stands.
+
+    A batch that is run again after a failure overwrites its own folder, so each batch is there once.
+    """
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    stream.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+
+
+def first_within(events: DataFrame, keys: list[str], late: str, out: str, state: str) -> None:
+    """Events with new ``keys`` go to ``out``; a key is remembered for ``late`` after its time only, so that the state stays bounded.
+
+    ``events`` has ``ts``. Repeats within ``late`` are dropped, whatever batch they come in; rows that are later than the
+    watermark are dropped as well. Runs with one ``state`` continue each other.
+    """
+    _continued(events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys), out, state)
+
+
+def closed_windows(events: DataFrame, width: str, keys: list[str], late: str, out: str, state: str) -> None:
+    """Counts and sums of tumbling windows, written to ``out`` once the watermark has passed a window's end; then its state goes.
+
+    Runs with one ``state`` continue each other. A row later than ``late`` is in no window; a window that is still open at
+    the end of the input is written by the run that closes it.
+    """
+    g = events.withWatermark("ts", late).groupBy(F.window("ts", width), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("v"))
+    _continued(g.select(F.col("window.start").alias("start"), *keys, "n", F.col("v").cast("double").alias("v")), out, state)

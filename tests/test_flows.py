@@ -79,10 +79,47 @@ def test_state_markdown_and_swaps(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1 and not (tmp_path / "t.old").exists()
 
 
-@pytest.mark.parametrize("name", ["changed", "ends", "carried", "segment", "before", "place"])
+@pytest.mark.parametrize("name", ["changed", "ends", "carried", "segment", "before", "place", "behind", "free", "is_total_row", "block_rows"])
 def test_helper_columns_leave_the_users_alone(spark, name):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "pos int, v string").withColumn(name, F.lit("mine"))
     for out in (order.run_id(df, [], ["pos"], "v"), order.blocks_closed_by(df, [], ["pos"], F.col("pos") == 2), order.carry_down(df, [], ["pos"], F.col("v"), F.col("pos") == 2), order.adjacent_distinct(df, [], ["pos"], "v")):
         assert {r[name] for r in out.collect()} == {"mine"}
+    if name != "changed":  # a column that label_blocks adds
+        coded = df.withColumn("code", F.when(F.col("pos") != 2, F.col("pos")))
+        codes = spark.createDataFrame([(1,), (2,), (3,)], "code int")
+        for out in (order.elimination_fill(coded.withColumn("s", F.lit(1)), ["s"], ["pos"], "code", codes.withColumn("s", F.lit(1))), panels.label_blocks(coded.withColumn("s", F.lit(1)), ["s"], ["pos"], "code", F.lit(False), F.lit(False))):
+            assert {r[name] for r in out.collect()} == {"mine"}
+
+
+def test_a_merge_over_a_whole_sheet(spark):
+    from factloom.operators import grid
+
+    cells = spark.createDataFrame([("f", "s", 0, 0, "head", None), ("f", "s", 2, 3, None, 1.0)], "file string, sheet string, r int, c int, v_str string, v_num double")
+    merges = spark.createDataFrame([("f", "s", 0, 1_048_575, 0, 16_383)], "file string, sheet string, r0 int, r1 int, c0 int, c1 int")
+    got = {(r["r"], r["c"]): (r["v_str"], r["v_num"]) for r in grid.fill_merges(cells, merges).collect()}
+    assert got == {(r, c): ("head", None) if (r, c) != (2, 3) else (None, 1.0) for r in range(3) for c in range(4)}
+
+
+def test_streams_continue_with_late_rows(spark, tmp_path):
+    """Two runs with one checkpoint: repeats across runs go, closed windows are written once, too late rows are dropped."""
+    from factloom.streaming import events
+
+    schema = "ts timestamp, k string, value double"
+    drops = [[("2024-01-01 00:10", "a", 1.0), ("2024-01-01 00:20", "a", 2.0), ("2024-01-01 05:00", "b", 3.0)],
+             [("2024-01-01 05:10", "b", 4.0), ("2024-01-01 00:30", "a", 9.0), ("2024-01-02 12:00", "c", 5.0)], [("2024-01-03 12:00", "d", 6.0)]]
+    (tmp_path / "in").mkdir()
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        events.closed_windows(stream, "1 hour", ["k"], "1 hour", f"{tmp_path}/w", f"{tmp_path}/ws")
+        events.first_within(stream, ["k"], "1 hour", f"{tmp_path}/d", f"{tmp_path}/ds")
+
+    for i, rows in enumerate(drops):
+        spark.sql(f"select cast(ts as timestamp) ts, k, cast(value as double) value from values {', '.join(map(str, rows))} as t(ts, k, value)").write.parquet(f"{tmp_path}/in/{i}")
+        run()
+    run()
+    windows = sorted((str(r["start"]), r["k"], r["n"], r["v"]) for r in spark.read.parquet(f"{tmp_path}/w").collect())
+    assert windows == [("2024-01-01 00:00:00", "a", 2, 3.0), ("2024-01-01 05:00:00", "b", 2, 7.0), ("2024-01-02 12:00:00", "c", 1, 5.0)]  # that of d is open still
+    assert sorted(r["k"] for r in spark.read.parquet(f"{tmp_path}/d").collect()) == ["a", "b", "c", "d"]
