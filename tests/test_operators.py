@@ -147,6 +147,41 @@ def test_sheet_facts(spark):
     assert facts["Isle", "Kept | 2019"] == (6.0, None, False) and got[0]["title"] == "Orders by land, 2019"
 
 
+def sheet_cells(spark, sheets: dict):
+    """Cells of sheets given as {name: rows}; texts and figures are told apart by type."""
+    rows = [("f", name, r, c, v if isinstance(v, str) else None, None if isinstance(v, str) else float(v)) for name, sheet in sheets.items() for r, row in enumerate(sheet) for c, v in enumerate(row) if v is not None]
+    return spark.createDataFrame(rows, "file string, sheet string, r int, c int, v_str string, v_num double")
+
+
+def test_sheet_facts_of_stacked_tables(spark):
+    sheets = {
+        # a lower head that looks like one of entities belongs to the head over it; blanks are spanned but in the last header row
+        "tall": [["Courts of the land"], ["State", "Courts", None, "Staff"], [None, "District", "City", None], ["East", 4, 5, 6], ["West", "1,204", "-", 7]],
+        # the head of the second table comes right after the first table's figures; its title and notes lie between
+        "stack": [["First title"], ["Sr. head", "x"], ["Region", "p", "q"], ["A", 1, 2], ["Total", 1, 2], ["Source: office"], ["Second title"], ["Region", "s", "t"], ["B", 3, 4]],
+        # figures that may be years make no row of figures; a repeated banner gives no label
+        "years": [["Name", "Sales", None], ["", 2001, 2002], ["Zone: up", "Zone: up", "Zone: up"], ["n", 5, 6]],
+        "no figures": [["Name", "Sales"], ["a", "b"]],
+    }
+    got = {}
+    for r in grid.sheet_facts(sheet_cells(spark, sheets)).collect():
+        got.setdefault(r["sheet"], set()).add((r["title"], r["entity_type"], r["entity"], r["context"], r["label"], r["value"]))
+    assert got.pop("tall") == {("Courts of the land", "State", e, None, label, v) for e, label, v in [
+        ("East", "Courts | District", 4.0), ("East", "Courts | City", 5.0), ("East", "Staff", 6.0), ("West", "Courts | District", 1204.0), ("West", "Staff", 7.0)]}
+    assert got.pop("stack") == {("First title Sr. head", "Region", "A", None, "x | p", 1.0), ("First title Sr. head", "Region", "A", None, "x | q", 2.0), ("First title Sr. head", "Region", "Total", None, "x | p", 1.0),
+                                ("First title Sr. head", "Region", "Total", None, "x | q", 2.0), ("Second title", "Region", "B", None, "s", 3.0), ("Second title", "Region", "B", None, "t", 4.0)}
+    assert got.pop("years") == {("", "Name", "n", None, "Sales | 2001", 5.0), ("", "Name", "n", None, "Sales | 2002", 6.0)}
+    assert not got
+
+
+def test_sheet_facts_with_nulls_repeats_and_other_columns(spark):
+    cells = sheet_cells(spark, {"s": [["Name", "n"], ["a", 1]]})
+    nulls = spark.createDataFrame([(None, "s", 0, 0, "Name", None), ("f", None, 0, 0, "Name", None), ("f", "s", 5, 5, None, None), ("f", "s", 6, 0, "  ", float("nan"))], cells.schema)
+    twice = cells.unionByName(cells).unionByName(nulls).withColumn("i", F.lit("x")).withColumn("island", F.lit("y"))
+    assert [(r["entity"], r["label"], r["value"]) for r in grid.sheet_facts(twice).collect()] == [("a", "n", 1.0)]
+    assert grid.sheet_facts(cells.limit(0)).count() == 0
+
+
 def workbook():
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
