@@ -25,10 +25,21 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def trim() -> None:
-    """Gives memory that earlier tasks of this Python worker have freed back to the system."""
+#: tables that operators keep in a Python worker between tasks
+KEPT_TABLES: list[dict] = []
+
+
+def trim(release: bool = False) -> None:
+    """Gives memory that earlier tasks of this Python worker have freed back to the system.
+
+    ``release``: tables kept for tasks of other operators go as well; these build them anew when they come again.
+    """
     import ctypes
 
+    if release:
+        for kept in KEPT_TABLES:
+            kept.clear()
+    pa.default_memory_pool().release_unused()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

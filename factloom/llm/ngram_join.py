@@ -334,7 +334,7 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int, id_col: str = "do
     able = met.filter("kind = 0").groupBy("a", "bit").agg(F.sum("b").alias("n")).filter("n >= 0").select(F.col("a").alias("d")).distinct()
 
     def to_sets(batches):
-        trim()
+        trim(release=True)
         for b in batches:
             _, offs = utf8(b.column("text"))
             for x, y in byte_groups(offs, TOKENS * 16):
@@ -383,7 +383,7 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
     smallest document a that has it.
     """
     def keys(batches):
-        trim()
+        trim(release=True)
         seen: dict[tuple, int] = {}
         got, needs, copies, n = [], [], [], 0
 

@@ -13,9 +13,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from factloom.llm.common import K1, K3, mix, utf8
+from factloom.llm.common import K1, K3, KEPT_TABLES, mix, utf8
 
 _LOADED: dict[str, Encoder] = {}
+KEPT_TABLES.append(_LOADED)
 #: distinct words kept in a worker (some 60 bytes each); the table starts anew beyond it
 KEPT = 2_000_000
 #: other pieces kept in a worker (some 300 bytes each)

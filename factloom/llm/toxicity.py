@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm import textcodes
-from factloom.llm.common import K1, mix, ship, written
+from factloom.llm.common import K1, mix, ship, trim, written
 
 ORDER, BITS, SLOTS = 5, 12, 22
 #: rows of each kind that a model is fitted on (expected number), and its features
@@ -126,6 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def least(batches):
         """Each text with the least hash of its passages of 25 letters: near copies mostly share it, other texts do not."""
+        trim(release=True)
         for b in batches:
             texts, low = b.column(0).to_pylist(), []
             for i, j in textcodes.groups(texts):
@@ -144,6 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def count(batches):
         """Presence counts of grams, as one blob for each part of the gram space."""
+        trim(release=True)
         g, pn, un = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         for b in batches:
             texts, p, u = b.column(0).to_pylist(), np.array(b.column(1)), np.array(b.column(2))
@@ -184,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     table = slot_table(grams)
 
     def mark(batches):
+        trim(release=True)
         for b in batches:
             doc, feat = present(b.column(0).to_pylist(), grams, table)
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1))
@@ -215,6 +218,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     extra, keep = extra or {}, keep or []
 
     def predict(batches):
+        trim(release=True)
         for b in batches:
             doc, feat = present(b.column("_text").to_pylist(), grams, table)
             z = bias + np.bincount(doc, weights[feat], b.num_rows)
@@ -233,6 +237,7 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     grams, weights, bias, table = model.grams, model.weights.astype(np.float64), model.bias, slot_table(model.grams)
 
     def below(batches):
+        trim(release=True)
         for b in batches:
             doc, feat = present(b.column(text_col).to_pylist(), grams, table)
             z = bias + np.bincount(doc, weights[feat], b.num_rows)
