@@ -40,7 +40,6 @@ def trim(release: bool = False) -> None:
         for kept in KEPT_TABLES:
             kept.clear()
     pa.default_memory_pool().release_unused()
-    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library: it keeps what it keeps
