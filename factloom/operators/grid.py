@@ -26,15 +26,18 @@ def named_sheets_only(sheets: DataFrame) -> DataFrame:
     return sheets.withColumn(n, named).withColumn(some, F.max(n).over(Window.partitionBy("file"))).filter(F.col(n) | ~F.col(some)).drop(n, some)
 
 
-def fill_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
+def fill_merges(cells: DataFrame, merges: DataFrame, clip: bool = True) -> DataFrame:
     """Text of a merged range's first cell, copied to all its cells; figures are not copied.
 
-    Ranges are clipped to the rows and columns that the sheet uses, so that one over a whole sheet costs no more than these.
+    With ``clip``, ranges end at the last row and column that the sheet uses, so that one over a whole sheet costs no more
+    than these; without it, cells beyond these get the text, too.
     """
     used = cells.groupBy("file", "sheet").agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
+    end = lambda last, used_to: F.least(last, used_to) if clip else F.col(last)
     anchor = cells.select("file", "sheet", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("v_str").alias("anchor")).filter("anchor is not null")
-    spread = merges.select("file", "sheet", "r0", "r1", "c0", "c1").join(anchor, ["file", "sheet", "r0", "c0"]).join(used, ["file", "sheet"]) \
-        .withColumn("r", F.explode(F.sequence("r0", F.least("r1", "last_r")))).withColumn("c", F.explode(F.sequence("c0", F.least("c1", "last_c")))) \
+    spread = merges.select("file", "sheet", "r0", "r1", "c0", "c1").join(anchor, ["file", "sheet", "r0", "c0"])
+    spread = (spread.join(used, ["file", "sheet"]) if clip else spread) \
+        .withColumn("r", F.explode(F.sequence("r0", end("r1", "last_r")))).withColumn("c", F.explode(F.sequence("c0", end("c1", "last_c")))) \
         .groupBy("file", "sheet", "r", "c").agg(F.min("anchor").alias("anchor"))
     out = cells.select("file", "sheet", "r", "c", "v_str", "v_num").join(spread, ["file", "sheet", "r", "c"], "full")
     return out.select("file", "sheet", "r", "c", F.when(F.col("v_num").isNull(), F.coalesce("v_str", "anchor")).otherwise(F.col("v_str")).alias("v_str"), "v_num")

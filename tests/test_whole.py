@@ -33,3 +33,11 @@ def test_sheets_have_all_years(spark, sf, tmp_path):
     got = catalogue.QUERIES["sheet_facts"](spark, str(tmp_path)).toPandas()
     assert rows(got) == whole(str(tmp_path), "sheet_facts", " where year >= 1995")
     assert {x[-4:] for x in got["label"]} == {"1992", "1993", "1994", "1995", "1999", "2000", "2001"}
+
+
+def test_merges_reach_beyond_the_cells_of_a_sheet(spark, sf):
+    """All cells of all ranges have text, those below the last row of a sheet and behind its last column, too."""
+    got = {(r["sheet"], r["r"], r["c"]) for r in catalogue.QUERIES["merged_cells"](spark, sf).select("sheet", "r", "c").collect()}
+    sheet = "select p_brand, cast(floor(p_partkey / 10) as int) * 2 as r, cast(p_partkey % 10 as int) * 3 as c from part where p_partkey % 3 > 0 and p_partkey % 10 % 2 = 0"
+    want = {(b, r + i, c + j) for b, r, c in connect(sf).execute(sheet).fetchall() for i in (0, 1) for j in (0, 1)}
+    assert want and want <= got
