@@ -2,12 +2,14 @@ import io
 import random
 import zipfile
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from factloom.functions import classify, text
 from factloom.operators import graph, grid, order, quality, reconcile, resolve, similarity
+from factloom.plans import catalogue
 from factloom.sources import readers, store
 
 
@@ -125,6 +127,27 @@ def test_overlap_pairs_against_all_pairs(spark):
     assert got == want
 
 
+def test_overlap_pairs_of_hot_tokens_and_copies(spark, monkeypatch):
+    """A token of nearly all sketches is dealt over several tasks; copies and similar sketches of all sizes keep every pair."""
+    monkeypatch.setattr(similarity, "DEALT", 5)
+    rnd = random.Random(5)
+    rows = [(i, ["hot"] + rnd.sample("abcdefghijklmnopqrst", rnd.randint(0, 11))) for i in range(80)] + [(i, ["hot", "x", "y"]) for i in range(80, 90)]
+    got = {(r["a"], r["b"]): round(r["overlap"], 6) for r in similarity.overlap_pairs(spark.createDataFrame(rows, "id int, s array<string>"), "id", "s", 0.4).collect()}
+    share = {(i, j): round(len({*s} & {*u}) / min(len(s), len(u)), 6) for i, s in rows for j, u in rows if i < j}
+    assert got == {p: x for p, x in share.items() if x >= 0.4}
+
+
+@pytest.mark.parametrize("name", ["overlap_pairs"])
+def test_sketches_are_never_broadcast(spark, sf, name, monkeypatch):
+    """Sketches are small on disk and large in the driver's memory: they are joined by merge joins, whatever their size."""
+    plans = []
+    monkeypatch.setattr(similarity, "_near", lambda *a, f=similarity._near: plans.append(f(*a)) or plans[-1])
+    out = catalogue.QUERIES[name](spark, sf)
+    plans += [out] * (name == "overlap_pairs")
+    shown = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert shown and all("SortMergeJoin" in p and "Broadcast" not in p for p in shown)
+
+
 def test_merges_and_empty_lines(spark):
     cells = spark.createDataFrame([("f", "s", 0, 0, "Head", None), ("f", "s", 0, 1, None, 5.0), ("f", "s", 3, 4, "x", None)], "file string, sheet string, r int, c int, v_str string, v_num double")
     merges = spark.createDataFrame([("f", "s", 0, 1, 0, 1)], "file string, sheet string, r0 int, r1 int, c0 int, c1 int")
