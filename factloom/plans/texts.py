@@ -103,7 +103,7 @@ def band_pairs(spark, sf_dir):
 
 
 def clustered(spark, sf_dir):
-    s = sketched(spark, sf_dir)
+    s = numbered(spark, sf_dir)
     return similarity.clusters(s, "doc_id", similarity.similar_edges(s, "doc_id", "s", 0.4, ["lang"]))
 
 
