@@ -137,7 +137,7 @@ def test_overlap_pairs_of_hot_tokens_and_copies(spark, monkeypatch):
     assert got == {p: x for p, x in share.items() if x >= 0.4}
 
 
-@pytest.mark.parametrize("name", ["overlap_pairs", "clusters"])
+@pytest.mark.parametrize("name", ["overlap_pairs", "clusters", "cluster_rollup"])
 def test_sketches_are_never_broadcast(spark, sf, name, monkeypatch):
     """Sketches are small on disk and large in the driver's memory: they are joined by merge joins, whatever their size."""
     plans = []
