@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.operators.names import unused  # noqa: F401
-from factloom.session import shared_dir, ship, written  # noqa: F401
+from factloom.session import discard, shared_dir, ship, written  # noqa: F401
 
 #: odd multipliers of the vectorised hashes
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -46,6 +46,24 @@ def trim(release: bool = False) -> None:
         pass
 
 
+def tidy(work, release: bool = False):
+    """``work`` (a function of the batches of a task, or of a group's key and table) so that its Python worker gives freed
+    memory back before and after it: idle workers count, too. ``release``: see ``trim``."""
+
+    def batches_run(batches):
+        trim(release)
+        yield from work(batches)
+        trim()
+
+    def group_run(key, tab):
+        trim(release)
+        out = work(key, tab)
+        trim()
+        return out
+
+    return group_run if work.__code__.co_argcount == 2 else batches_run
+
+
 def if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast only if the counted ``rows`` are within ``limit``; otherwise the join shuffles."""
     return F.broadcast(df) if rows <= limit else df

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import K1, K2, filesystem, if_small, mix, shared_dir, ship, span_hashes, trim, utf8
+from factloom.llm.common import K1, K2, filesystem, if_small, mix, shared_dir, ship, span_hashes, tidy, utf8
 from factloom.operators.graph import connected_components
-from factloom.session import written
+from factloom.session import discard, written
 
 #: bytes, shingles and keys that a task holds as arrays at once
 GROUP, TOKENS, KEYS = 1 << 19, 300_000, 600_000
@@ -284,7 +284,7 @@ def frequent_shingles(t: DataFrame, n: int, k: int, sample: int = SAMPLE, least:
             u, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(*utf8(b.column("text")), k)]), return_counts=True)
             yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(c)], ["h", "n"])
 
-    rows = t.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(most).select("h").collect()
+    rows = t.mapInArrow(tidy(count, release=True), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(most).select("h").collect()
     return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
 
 
@@ -304,7 +304,7 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int, id_col: str
             yield pa.record_batch([b.column("d"), pa.array(n, pa.int64())], ["d", "n_shingles"])
 
     t = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text"))
-    return t.mapInArrow(count, "d long, n_shingles long").join(component.withColumnRenamed("node", "d"), "d", "left") \
+    return t.mapInArrow(tidy(count, release=True), "d long, n_shingles long").join(component.withColumnRenamed("node", "d"), "d", "left") \
         .select(F.col("d").alias(id_col), "n_shingles", F.coalesce("component", "d").alias("component_id"))
 
 
@@ -334,7 +334,6 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int, id_col: str = "do
     able = met.filter("kind = 0").groupBy("a", "bit").agg(F.sum("b").alias("n")).filter("n >= 0").select(F.col("a").alias("d")).distinct()
 
     def to_sets(batches):
-        trim(release=True)
         for b in batches:
             _, offs = utf8(b.column("text"))
             for x, y in byte_groups(offs, TOKENS * 16):
@@ -343,7 +342,7 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int, id_col: str = "do
                 yield pa.record_batch([own.column("d"), pa.array([len(v) for v in sets], pa.int64()), pa.array([v.tobytes() for v in sets], pa.binary())], ["d", "size", "s"]).filter(pa.array([len(v) > 0 for v in sets], pa.bool_()))
 
     # the same plan at every size: not a broadcast of the ids as long as they happen to be few
-    sets = written(known.join(able.hint("merge"), "d").mapInArrow(to_sets, "d long, size long, s binary"), "sets")
+    sets = written(known.join(able.hint("merge"), "d").mapInArrow(tidy(to_sets, release=True), "d long, size long, s binary"), "sets")
 
     # 2. blocks of those that are connected by shared keys
     blocks = connected_components(_by_key(sets, parts, _from_sets, hot, num, den, score=False).select("a", "b").distinct(), "a", "b")
@@ -351,7 +350,9 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int, id_col: str = "do
 
     # 3. regions
     links = [met.filter("kind = 1").select("a", "b", F.lit("copy").alias("via"))]
-    links += _region_links(written(rows, "regions"), num, den)
+    rows = written(rows, "regions")
+    discard(sets)
+    links += _region_links(rows, num, den)
     return reduce(DataFrame.unionByName, links)
 
 
@@ -383,7 +384,6 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
     smallest document a that has it.
     """
     def keys(batches):
-        trim(release=True)
         seen: dict[tuple, int] = {}
         got, needs, copies, n = [], [], [], 0
 
@@ -447,8 +447,8 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
         return pa.table({"kind": np.repeat(np.array([0, 0, 1], np.int32), [len(pair), len(need), len(copies)]), "a": np.concatenate([pair[:, 0], need[:, 0], copies[:, 0]]),
                          "bit": np.concatenate([pair[:, 1], need[:, 2], copies[:, 2]]).astype(np.int32), "b": np.concatenate([count, need[:, 1], copies[:, 1]])})
 
-    blobs = t.mapInArrow(keys, "part int, kind int, h binary, d binary")
-    return blobs.groupBy("part").applyInArrow(meet, "kind int, a long, bit int, b long")
+    blobs = t.mapInArrow(tidy(keys, release=True), "part int, kind int, h binary, d binary")
+    return blobs.groupBy("part").applyInArrow(tidy(meet, release=True), "kind int, a long, bit int, b long")
 
 
 def _region_links(rows: DataFrame, num: int, den: int) -> list[DataFrame]:
@@ -525,7 +525,7 @@ def _part(rows: DataFrame, num: int, den: int) -> DataFrame:
                 ok = a != z
                 yield pa.record_batch([*[pa.nulls(int(ok.sum()), k) for k in kinds[:7]], pa.array(a[ok]), pa.array(z[ok])], names)
 
-    return cut.mapInArrow(measure, "region long, d long, size long, s binary, far double, linked boolean, of long, a long, b long")
+    return cut.mapInArrow(tidy(measure, release=True), "region long, d long, size long, s binary, far double, linked boolean, of long, a long, b long")
 
 
 def _joined(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -565,4 +565,4 @@ def _joined(rows: DataFrame, num: int, den: int) -> DataFrame:
         if found:
             yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), _LINK, strict=True)], ["a", "b", "via"])
 
-    return cut.mapInArrow(join, "a long, b long, via string")
+    return cut.mapInArrow(tidy(join, release=True), "a long, b long, via string")

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import ship, trim
+from factloom.llm.common import ship, tidy, trim
 from factloom.llm.token_file import in_order
 from factloom.llm.tokens import KEPT, encoder, groups
 
@@ -125,7 +125,6 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c.astype(np.int64)) for c in cols], names), len(cuts) - 1
 
     def work(batches):
-        trim()
         enc, ends, used = encoder(tokenizer, kept), sentence_ends(tokenizer), TaskContext.get().partitionId() << 40
         held, parts, sizes, n = [], [], [], 0
         def flush():
@@ -144,7 +143,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                     used += k
                     held, parts, sizes, n = [], [], [], 0
                     yield out
+                    trim()
         if held:
             yield flush()[0]
 
-    return in_order(docs, id_col, text_col).mapInArrow(work, ", ".join(f"`{x}` long" for x in names))
+    return in_order(docs, id_col, text_col).mapInArrow(tidy(work), ", ".join(f"`{x}` long" for x in names))

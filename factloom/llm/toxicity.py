@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm import textcodes
-from factloom.llm.common import K1, mix, ship, trim, written
+from factloom.llm.common import K1, mix, ship, tidy, written
 
 ORDER, BITS, SLOTS = 5, 12, 22
 #: rows of each kind that a model is fitted on (expected number), and its features
@@ -126,7 +126,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def least(batches):
         """Each text with the least hash of its passages of 25 letters: near copies mostly share it, other texts do not."""
-        trim(release=True)
         for b in batches:
             texts, low = b.column(0).to_pylist(), []
             for i, j in textcodes.groups(texts):
@@ -140,12 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.record_batch([*b.columns, pa.array(low, pa.int64())], ["text", "p", "u", "least"])
 
     # copies of a text say nothing more than the text: one of each is kept on either side
-    sample = sample.mapInArrow(least, "text string, p boolean, u boolean, least long").dropDuplicates(["least", "p"]).drop("least")
+    sample = sample.mapInArrow(tidy(least, release=True), "text string, p boolean, u boolean, least long").dropDuplicates(["least", "p"]).drop("least")
     sample = written(sample.repartition(PARTS, F.xxhash64("text")), "pu-sample")
 
     def count(batches):
         """Presence counts of grams, as one blob for each part of the gram space."""
-        trim(release=True)
         g, pn, un = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         for b in batches:
             texts, p, u = b.column(0).to_pylist(), np.array(b.column(1)), np.array(b.column(2))
@@ -178,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         top = top[worth[top] > 0]
         return pa.table({"gram": g[top], "worth": worth[top]})
 
-    got = sample.mapInArrow(count, "part int, g binary, p binary, u binary").groupBy("part").applyInArrow(best, "gram long, worth double") \
+    got = sample.mapInArrow(tidy(count, release=True), "part int, g binary, p binary, u binary").groupBy("part").applyInArrow(tidy(best, release=True), "gram long, worth double") \
         .orderBy(F.desc("worth"), "gram").limit(features).collect()
     grams = np.sort(np.array([r["gram"] for r in got], np.int64))
     if not len(grams):
@@ -186,14 +184,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     table = slot_table(grams)
 
     def mark(batches):
-        trim(release=True)
         for b in batches:
             doc, feat = present(b.column(0).to_pylist(), grams, table)
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1))
             rows = [feat[x:y].astype(np.int16).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.record_batch([b.column(1), b.column(2), pa.array(rows, pa.binary())], ["p", "u", "x"])
 
-    rows = sorted(sample.mapInArrow(mark, "p boolean, u boolean, x binary").collect())
+    rows = sorted(sample.mapInArrow(tidy(mark, release=True), "p boolean, u boolean, x binary").collect())
 
     def matrix(kind):
         own = [np.frombuffer(r["x"], np.int16) for r in rows if r[kind]]
@@ -218,7 +215,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     extra, keep = extra or {}, keep or []
 
     def predict(batches):
-        trim(release=True)
         for b in batches:
             doc, feat = present(b.column("_text").to_pylist(), grams, table)
             z = bias + np.bincount(doc, weights[feat], b.num_rows)
@@ -228,7 +224,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     t = docs.select(F.col(id_col), *keep, *[c.alias(n) for n, c in extra.items()], F.col(text_col).alias("_text"))
     schema = ", ".join(f"`{n}` {k}" for n, k in t.drop("_text").dtypes)
-    return t.mapInArrow(predict, f"{schema}, score double, predicted int")
+    return t.mapInArrow(tidy(predict, release=True), f"{schema}, score double, predicted int")
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -237,10 +233,9 @@ def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: flo
     grams, weights, bias, table = model.grams, model.weights.astype(np.float64), model.bias, slot_table(model.grams)
 
     def below(batches):
-        trim(release=True)
         for b in batches:
             doc, feat = present(b.column(text_col).to_pylist(), grams, table)
             z = bias + np.bincount(doc, weights[feat], b.num_rows)
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))) < threshold))
 
-    return docs.mapInArrow(below, docs.schema)
+    return docs.mapInArrow(tidy(below, release=True), docs.schema)
