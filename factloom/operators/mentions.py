@@ -30,7 +30,8 @@ def _tokens(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     word, c = "[A-Za-z]+", F.col(text)
     loose = (c == F.lower(c)) | ((c == F.upper(c)) & (c != F.lower(c)))
     words = F.regexp_extract_all(c, F.lit(f"({word})"), 1)
-    t = texts.filter(c.isNotNull()).select(*keys, loose.alias("loose"), F.posexplode(F.arrays_zip(words.alias("word"), F.slice(F.split(c, word, -1), 1, F.size(words)).alias("gap"))).alias("i", "x"))
+    # texts are dealt by their keys before they fall into words: the windows over words then need no shuffle
+    t = texts.filter(c.isNotNull()).repartition(*keys).select(*keys, loose.alias("loose"), F.posexplode(F.arrays_zip(words.alias("word"), F.slice(F.split(c, word, -1), 1, F.size(words)).alias("gap"))).alias("i", "x"))
     t = t.select(*keys, "loose", "i", "x.word", "x.gap")
     upto = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     return t.withColumn("start", F.sum(F.length("gap") + F.length("word")).over(upto) - F.length("word"))
@@ -56,13 +57,14 @@ def mentions(texts: DataFrame, keys: list[str], text: str, names: DataFrame, abb
         low = F.lower(word) if low is None else F.concat_ws(" ", low, F.lower(word))
         capital = ahead("capital", k) if capital is None else capital & ahead("capital", k)
         ok = word.isNotNull() & (F.col("loose") | capital)
-        grams.append(F.when(ok, F.struct(F.lit(k + 1).alias("n"), low.alias("name"), raw.alias("mention"))))
+        grams.append((F.when(ok, low).alias(f"name{k}"), F.when(ok, raw).alias(f"mention{k}")))
     after = F.coalesce(ahead("gap", 1), F.lit(""))
     edges = (~F.col("gap").rlike("[0-9_]$"), ~after.rlike("^[0-9_]"))
     pair = F.when(ahead("gap", 1).rlike("^ ?& ?$"), F.concat("word", F.lit("&"), ahead("word", 1)))
-    t = t.select(*keys, "i", "start", F.filter(F.array(*grams), lambda x: x.isNotNull()).alias("grams"), "word", F.concat("word", after, ahead("word", 1)).alias("two"), pair.alias("pair"), edges[0].alias("open"), edges[1].alias("shut"))
+    t = t.select(*keys, "i", "start", *[c for gram in grams for c in gram], "word", F.concat("word", after, ahead("word", 1)).alias("two"), pair.alias("pair"), edges[0].alias("open"), edges[1].alias("shut"))
 
-    m = t.select(*keys, "i", "start", F.inline("grams")).join(names, "name")
+    rows = F.stack(F.lit(longest), *[c for k in range(longest) for c in (F.lit(k + 1), F.col(f"name{k}"), F.col(f"mention{k}"))]).alias("n", "name", "mention")
+    m = t.select(*keys, "i", "start", rows).join(names, "name")
     m = m.groupBy(*keys, "i").agg(F.max_by(F.struct("n", "start", (F.col("start") + F.length("mention")).alias("end"), "mention", "kind", "state", "weak"), "n").alias("m")).select(*keys, "i", "m.*")
     before = F.max(F.col("i") + F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     m = m.withColumn("opens", F.coalesce(F.col("i") >= before, F.lit(True)).cast("int")).withColumn("island", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -82,3 +82,11 @@ def test_mentions_against_a_scan(spark):
     assert {k: sorted(v) for k, v in got.items()} == {i: m for i, x in enumerate(texts) if (m := by_scan(x, names))}
     assert mentions.mentions(t.filter("id < 0"), ["id"], "text", table).count() == 0
     assert mentions.mentions(t, ["id"], "text", table.filter(F.lit(False))).count() == 0
+
+
+def test_words_are_not_shuffled(spark, sf):
+    """Texts are dealt by their keys once; all windows over words work where these lie."""
+    from factloom.plans import catalogue
+
+    plan = catalogue.QUERIES["name_mentions"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(src") == 1 and plan.index("Generate posexplode") < plan.index("Exchange hashpartitioning(src")
