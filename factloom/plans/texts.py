@@ -112,7 +112,7 @@ def clusters(spark, sf_dir):
 
 
 def cluster_rollup(spark, sf_dir):
-    d = clustered(spark, sf_dir).join(t(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(F.lit("s"), F.col("doc_id") % 4).alias("src")), "doc_id")
+    d = clustered(spark, sf_dir).join(t(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(F.lit("s"), F.col("doc_id") % 4).alias("src")).hint("merge"), "doc_id")
     r = similarity.roll_up(d, ["cluster_id"], F.col("doc_id"), ["lang"], "src", ("doc_id", "doc_id"))
     return r.select("cluster_id", F.col("first").alias("first_doc"), F.col("last").alias("last_doc"), "lang", "n", "n_sources", "sources")
 

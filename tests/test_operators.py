@@ -2,6 +2,7 @@ import io
 import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -148,6 +149,44 @@ def test_sketches_are_never_broadcast(spark, sf, name, monkeypatch):
     assert shown and all("SortMergeJoin" in p and "Broadcast" not in p for p in shown)
 
 
+def test_roll_up_of_clusters_has_no_broadcast(spark, sf):
+    """Tables of ids are small on disk and large in the driver's memory: from the edges to the roll-up, too, they are joined by merge joins."""
+    shown = catalogue.QUERIES["cluster_rollup"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
+
+
+def test_edges_do_not_grow_with_pairs(spark):
+    """400 sketches, all pairs of which are similar: each task gives fewer edges than it has sketches."""
+    rnd = random.Random(6)
+    rows = [(i, sorted(rnd.sample(range(16), 12))) for i in range(400)] + [(400 + i, sorted(rnd.sample(range(20, 36), 12))) for i in range(9)] + [(500, [90, 91])]
+    df = spark.createDataFrame(rows, "id long, s array<int>")
+    edges = similarity.similar_edges(df, "id", "s", 0.4)
+    assert edges.count() < 4 * len(rows) * max(1, edges.rdd.getNumPartitions())
+    got = {r["id"]: r["root"] for r in similarity.clusters(df, "id", edges).collect()}
+    assert got == {**dict.fromkeys(range(400), 0), **dict.fromkeys(range(400, 409), 400), 500: 500}
+
+
+@pytest.mark.parametrize("gathered", [1, 7, 1 << 20])
+def test_forest_connects_what_its_edges_connect(monkeypatch, gathered):
+    monkeypatch.setattr(graph, "GATHERED", gathered)
+    rnd = random.Random(7)
+    edges = [(f"n{rnd.randint(0, 60)}", f"n{rnd.randint(0, 60)}") for _ in range(45)] * 3
+
+    def parts(pairs):
+        root = {x: {x} for p in edges for x in p}
+        for a, b in pairs:
+            if root[a] is not root[b]:
+                root[a] |= root[b]
+                for x in root[b]:
+                    root[x] = root[a]
+        return {frozenset(x) for x in root.values()}
+
+    batches = [pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in edges[i : i + 10]]) for i in range(0, len(edges), 10)]
+    out = [(r["a"], r["b"]) for b in graph.forest_of_task(iter(batches)) for r in b.to_pylist()]
+    assert parts(out) == parts(edges) and len(out) == sum(len(p) - 1 for p in parts(edges))
+    assert not list(graph.forest_of_task(iter([])))
+
+
 def test_merges_and_empty_lines(spark):
     cells = spark.createDataFrame([("f", "s", 0, 0, "Head", None), ("f", "s", 0, 1, None, 5.0), ("f", "s", 3, 4, "x", None)], "file string, sheet string, r int, c int, v_str string, v_num double")
     merges = spark.createDataFrame([("f", "s", 0, 1, 0, 1)], "file string, sheet string, r0 int, r1 int, c0 int, c1 int")
