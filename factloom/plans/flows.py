@@ -187,9 +187,9 @@ def cells_of(spark, sf_dir):
 
 
 def merged_cells(spark, sf_dir):
-    """Text of merged ranges (three rows high, two columns wide) copied to all their cells."""
+    """Each cell with text heads a merged range (two rows high, two columns wide); the text is copied to all cells of its range."""
     c = cells_of(spark, sf_dir)
-    m = c.filter("v_str is not null and c % 2 = 0").select("file", "sheet", F.col("r").alias("r0"), (F.col("r") + 1).alias("r1"), F.col("c").alias("c0"), (F.col("c") + 1).alias("c1"))
+    m = c.filter("v_str is not null").select("file", "sheet", F.col("r").alias("r0"), (F.col("r") + 1).alias("r1"), F.col("c").alias("c0"), (F.col("c") + 1).alias("c1"))
     return grid.fill_merges(c, m, clip=False).filter("v_str is not null or v_num is not null")
 
 

@@ -104,7 +104,7 @@ select file, n_chars from d where n_chars <= 100 or v is not distinct from case
 with s as (select n_regionkey as file, case when n_regionkey % 3 = 0 or n_nationkey % 2 = 0 then 'Sheet' || n_nationkey else n_name end as sheet from nation)
 select file, sheet from s where not starts_with(sheet, 'Sheet') or file not in (select file from s where not starts_with(sheet, 'Sheet'))""",
     "merged_cells": f"""
-with {CELLS}, m as (select file, sheet, r, c, v_str from cells where v_str is not null and c % 2 = 0),
+with {CELLS}, m as (select file, sheet, r, c, v_str from cells where v_str is not null),
 s as (select file, sheet, r + i as r, c + j as c, min(v_str) as a from m, (values (0), (1)) x(i), (values (0), (1)) y(j) group by 1, 2, 3, 4),
 o as (select file, sheet, r, c, case when v_num is null then coalesce(v_str, a) else v_str end as v_str, v_num from cells full join s using (file, sheet, r, c))
 select * from o where v_str is not null or v_num is not null""",

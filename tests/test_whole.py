@@ -41,3 +41,12 @@ def test_merges_reach_beyond_the_cells_of_a_sheet(spark, sf):
     sheet = "select p_brand, cast(floor(p_partkey / 10) as int) * 2 as r, cast(p_partkey % 10 as int) * 3 as c from part where p_partkey % 3 > 0 and p_partkey % 10 % 2 = 0"
     want = {(b, r + i, c + j) for b, r, c in connect(sf).execute(sheet).fetchall() for i in (0, 1) for j in (0, 1)}
     assert want and want <= got
+
+
+def test_merges_of_all_columns(spark, sf):
+    """The text of every cell that has one is in all four cells of its range, whatever its column."""
+    got = catalogue.QUERIES["merged_cells"](spark, sf).toPandas()
+    assert rows(got) == whole(sf, "merged_cells", " and c % 2 = 0")
+    cell = "select p_brand, cast(floor(p_partkey / 10) as int) * 2 as r, cast(p_partkey % 10 as int) * 3 as c, p_type from part where p_partkey % 3 > 0"
+    want = {(b, r + i, c + j, v) for b, r, c, v in connect(sf).execute(cell).fetchall() for i in (0, 1) for j in (0, 1)}
+    assert {c % 2 for _, _, c, _ in want} == {0, 1} and want <= {(x.sheet, x.r, x.c, x.v_str) for x in got.itertuples()}
