@@ -376,6 +376,33 @@ def _from_sets(batches):
             i = j
 
 
+def key_blobs(h: np.ndarray, d: np.ndarray, parts: int, score: bool) -> list[tuple[int, int, bytes, bytes]]:
+    """Rows (part, kind 2 or 3, keys, documents) of the keys h of documents d, by part of the key space.
+
+    Documents take four bytes a key, as distances from the least id (kind 3), unless the ids of a part are too far apart.
+    With ``score`` a key takes four bytes, too, its lowest bit kept: unequal keys that meet by that only let a document
+    through the filter that has no link, and there are few.
+    """
+    rest, part = np.divmod(h >> np.uint64(1), np.uint64(parts))
+    order = np.argsort(part, kind="stable")
+    if score:
+        h = ((rest << np.uint64(1)) | (h & np.uint64(1))).astype(np.uint32)
+    h, d = h[order], d[order]
+    ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    rows = []
+    for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        if a < b:
+            least, most = int(d[a:b].min()), int(d[a:b].max())
+            near = most - least < 1 << 32
+            rows.append((p, 3, h[a:b].tobytes(), np.int64(least).tobytes() + (d[a:b] - least).astype(np.uint32).tobytes()) if near else (p, 2, h[a:b].tobytes(), d[a:b].tobytes()))
+    return rows
+
+
+def key_documents(kind: int, d: bytes) -> np.ndarray:
+    """The documents of a row of ``key_blobs``."""
+    return np.frombuffer(d, np.int64, 1) + np.frombuffer(d, np.uint32, offset=8) if kind == 3 else np.frombuffer(d, np.int64)
+
+
 def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int, score: bool) -> DataFrame:
     """(kind, a, bit, b): exchanges keys in blobs by part of the key space.
 
@@ -390,12 +417,7 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
         def flush():
             rows = []
             if got:
-                h, d = (np.concatenate(c) for c in zip(*got, strict=True))
-                part = (h >> np.uint64(1)) % np.uint64(parts)
-                order = np.argsort(part, kind="stable")
-                h, d, part = h[order], d[order], part[order]
-                ends = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-                rows = [(p, 2, h[a:b].tobytes(), d[a:b].tobytes()) for p, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+                rows = key_blobs(*(np.concatenate(c) for c in zip(*got, strict=True)), parts, score)
             for kind, own in ((0, needs), (1, copies)):
                 if own:
                     v = np.concatenate(own)
@@ -431,7 +453,9 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
     def meet(key, tab):
         kinds, raw_h, raw_d = np.asarray(tab.column("kind")), tab.column("h").to_pylist(), tab.column("d").to_pylist()
         of = lambda kind: np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x, y in zip(raw_d, kinds, strict=True) if y == kind]])
-        h, d = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in raw_h if x]]), of(2)
+        kept = np.uint32 if score else np.uint64
+        h = np.concatenate([np.zeros(0, kept), *[np.frombuffer(x, kept) for x in raw_h if x]])
+        d = np.concatenate([np.zeros(0, np.int64), *[key_documents(y, x) for x, y in zip(raw_d, kinds, strict=True) if y > 1]])
         order = np.lexsort((d, h))
         h, d = h[order], d[order]
         new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -442,7 +466,7 @@ def _by_key(t: DataFrame, parts: int, read, hot: np.ndarray, num: int, den: int,
             return pa.table({"kind": np.full(len(e), 2, np.int32), "a": e[:, 0], "bit": np.zeros(len(e), np.int32), "b": e[:, 1]})
         last = np.repeat(d[new + run - 1], run) if len(h) else hub
         shared = hub != last  # by at least two documents
-        pair, count = np.unique(np.stack([d[shared], (h[shared] & np.uint64(1)).astype(np.int64)], 1), axis=0, return_counts=True)
+        pair, count = np.unique(np.stack([d[shared], (h[shared] & kept(1)).astype(np.int64)], 1), axis=0, return_counts=True)
         need, copies = of(0).reshape(-1, 3), of(1).reshape(-1, 3)
         return pa.table({"kind": np.repeat(np.array([0, 0, 1], np.int32), [len(pair), len(need), len(copies)]), "a": np.concatenate([pair[:, 0], need[:, 0], copies[:, 0]]),
                          "bit": np.concatenate([pair[:, 1], need[:, 2], copies[:, 2]]).astype(np.int32), "b": np.concatenate([count, need[:, 1], copies[:, 1]])})

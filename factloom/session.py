@@ -47,11 +47,20 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+#: whether the shuffle files of a query go when it ends, not when the driver happens to collect its garbage
+FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage is cut and survives a lost executor."""
+    """``df`` as a table in the shared folder: lineage is cut and survives a lost executor. The shuffle files behind it go at once."""
     spark = df.sparkSession
     path = shared_dir(spark, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(FILES_GO, "false")
+    spark.conf.set(FILES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FILES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -131,6 +131,22 @@ def test_ngram_join_odd_tables(docs):
     assert ngram_join.one_of_each(docs([(7, "a b c"), (3, "A b C"), (9, None)]), 3, 90, 100).select("doc_id").orderBy("doc_id").collect() == [(3,), (9,)]
 
 
+def test_keys_are_exchanged_in_eight_bytes():
+    """In four of the key and four of the document where the ids allow it; families, documents and equal keys come through."""
+    rnd = np.random.default_rng(5)
+    h, d = rnd.integers(0, 1 << 63, 20_000).astype(np.uint64), np.sort(rnd.integers(10**12, 10**12 + 10**9, 20_000))
+    h[1::2] = h[::2]  # each key twice
+    for score, kept in ((True, np.uint32), (False, np.uint64)):
+        rows = ngram_join.key_blobs(h, d, 64, score)
+        assert sum(len(r[2]) + len(r[3]) for r in rows) <= len(h) * (4 + kept().nbytes) + 8 * 64
+        back = sorted((x, p, int(k)) for p, kind, a, b in rows for k, x in zip(np.frombuffer(a, kept), ngram_join.key_documents(kind, b).tolist(), strict=True))
+        assert [x for x, _, _ in back] == d.tolist() and sorted(k & 1 for _, _, k in back) == sorted((h & np.uint64(1)).tolist())
+        assert len({(p, k) for _, p, k in back}) == len(h) // 2
+    far = np.array([-(1 << 63), 0, (1 << 63) - 1])
+    (row,) = ngram_join.key_blobs(np.zeros(3, np.uint64), far, 1, True)
+    assert ngram_join.key_documents(row[1], row[3]).tolist() == far.tolist()
+
+
 def test_voronoi_regions_are_exact():
     rnd = random.Random(5)
     base = [set(rnd.sample(range(2000), 60)) for _ in range(4)]
