@@ -90,3 +90,23 @@ def test_words_are_not_shuffled(spark, sf):
 
     plan = catalogue.QUERIES["name_mentions"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(src") == 1 and plan.index("Generate posexplode") < plan.index("Exchange hashpartitioning(src")
+
+
+def test_few_names_and_many_give_the_same(spark):
+    """Names in every task against the join; long runs of letters, letters of several bytes, a key with the name of a helper column."""
+    rnd = random.Random(4)
+    words = ["a", "ab", "b", "z" * 30]
+    names = sorted({" ".join(rnd.choices(words, k=rnd.choice([1, 2, 3, 4]))) for _ in range(40)} | {"st. john", "Ab", "a  b", "é"})
+    texts = ["".join(rnd.choice([w, w.upper(), w.title()]) + rnd.choice([" ", "é", "€ ", ", ", "\U0001f600", "_"]) for w in rnd.choices([*words, "z" * 31, "q" * 3000], k=rnd.choice([0, 1, 9, 60]))) for _ in range(60)] + [None, "", "é", "A" * 100_000]
+    table = spark.createDataFrame([(n, "state" if len(n) % 2 else "place", n[:1] if len(n) % 2 else None, len(n) < 3) for n in names], "name string, kind string, state string, weak boolean")
+    t = spark.createDataFrame([(k, -k, x) for k, x in enumerate(texts)], "found long, id long, text string")
+    few, many = (sorted(map(tuple, mentions.mentions(t, ["found", "id"], "text", table, held=held).collect()), key=str) for held in (100, 0))
+    assert few == many and len(few) > 100
+
+
+def test_few_names_need_no_windows(spark, sf):
+    """Texts are scanned whole: words never become rows that windows sort."""
+    from factloom.plans import catalogue
+
+    plan = catalogue.QUERIES["name_mentions"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan and "MapInArrow" in plan
